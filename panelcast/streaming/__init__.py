@@ -1,0 +1,7 @@
+"""Streaming.
+
+The reference computes over finished daily bar tables only: it has no
+watermark, event-time window, session or state.  Nothing is implemented
+here; every operator in this package is a batch DataFrame transformation
+and can be applied to a micro-batch by the caller (``foreachBatch``).
+"""
