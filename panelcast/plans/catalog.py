@@ -112,3 +112,7 @@ def q_features_sql(spark, sf_dir):
 )
 def q_training_frame(spark, sf_dir):
     return training_frame(spark, sf_dir)
+
+
+# Evaluation queries register themselves on import.
+from panelcast.plans import catalog_eval  # noqa: E402,F401
