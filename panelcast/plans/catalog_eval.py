@@ -22,6 +22,7 @@ from panelcast.plans import evaluation as E
 from panelcast.plans import oracle as O
 from panelcast.plans.catalog import register, training_frame
 from panelcast.schema import DATE, DEFAULT_FEATURES, SERIES
+from panelcast.session import materialize
 from panelcast.sources import bars as B
 from panelcast.operators import features as feat
 
@@ -36,7 +37,7 @@ def cut_frame(spark, sf_dir, form="dataframe"):
 
 
 def rolling_preds(spark, sf_dir, form="dataframe"):
-    return E.rolling_predictions(cut_frame(spark, sf_dir, form), SPEC)
+    return materialize(E.rolling_predictions(cut_frame(spark, sf_dir, form), SPEC))
 
 
 # ----------------------------------------------------------------- oracle

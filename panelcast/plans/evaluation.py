@@ -27,6 +27,7 @@ from panelcast.operators.scaling import scale_rows
 from panelcast.operators.scoring import FIXTURE_SCORERS, LinearScorer, predict_class, score_rows
 from panelcast.operators.splits import FOLD, SPLIT, FoldSpec, fold_membership, split_by_time, warmup_cut
 from panelcast.schema import DATE, DEFAULT_FEATURES, SEQUENCE_LENGTH, SERIES
+from panelcast.session import materialize
 
 
 @dataclass(frozen=True)
@@ -107,8 +108,9 @@ def final_predictions(
     tagged = split_by_time(frame, spec.folds.train_ratio, spec.folds.val_ratio, spec.folds.test_ratio)
     scaled = scale_rows(tagged, spec.features, spec.scaler_scope, by=[])
     preds = score_rows(scaled, spec.features, scorers or FIXTURE_SCORERS, keep=[SERIES, SPLIT, DATE])
-    # best_cfg has one row.
-    return preds.join(F.broadcast(best_cfg.select("config_idx")), on="config_idx", how="inner")
+    # best_cfg has one row.  The result feeds validation tuning and the test
+    # metrics, so it is materialised once.
+    return materialize(preds.join(F.broadcast(best_cfg.select("config_idx")), on="config_idx", how="inner"))
 
 
 def final_threshold_row(final_preds: DataFrame, fold_res: DataFrame, spec: EvalSpec = EvalSpec()) -> DataFrame:
@@ -168,8 +170,13 @@ class RollingRun:
 
 
 def rolling_run(training: DataFrame, spec: EvalSpec = EvalSpec(), scorers: list[LinearScorer] | None = None) -> RollingRun:
-    frame = eval_frame(training, spec)
-    preds = rolling_predictions(frame, spec, scorers)
+    """Folds -> scores -> per-fold tuning -> fold results -> config stability.
+
+    The cut frame and the prediction table are each read by several
+    branches, so both are materialised once.
+    """
+    frame = materialize(eval_frame(training, spec))
+    preds = materialize(rolling_predictions(frame, spec, scorers))
     cands = config_candidates(preds, spec)
     choice = fold_choice(cands, spec)
     folds = fold_results(preds, choice, spec)

@@ -54,3 +54,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="panelcast-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Write ``df`` once to the checkpoint folder and read it back (lineage cut).
+
+    Used for intermediates that several branches of one query read (the
+    prediction table feeds the sweep, the fold metrics, AUC and the final
+    split): computing them once instead of once per branch, and from storage
+    that survives the loss of an executor.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
