@@ -75,14 +75,21 @@ def fold_choice(candidates: DataFrame, spec: EvalSpec = EvalSpec()) -> DataFrame
     return S.pick_config_per_fold(candidates, [FOLD], spec.tune)
 
 
-def fold_results(preds: DataFrame, choice: DataFrame, spec: EvalSpec = EvalSpec()) -> DataFrame:
-    """Per fold: chosen config, its validation threshold, and test metrics at that threshold."""
+def fold_results(
+    preds: DataFrame, choice: DataFrame, spec: EvalSpec = EvalSpec(), sizes_from: DataFrame | None = None
+) -> DataFrame:
+    """Per fold: chosen config, its validation threshold, and test metrics at that threshold.
+
+    Split sizes and dates come from ``sizes_from`` (the folded rows) or, when
+    every row was scored, from the predictions of config 0.
+    """
     # One row per fold: bounded by the fold count, safe to broadcast.
     chosen = F.broadcast(choice.select(FOLD, "config_idx", "best_threshold", "val_score_best", "val_f1_best"))
     test = preds.where(F.col(SPLIT) == "test").join(chosen, on=[FOLD, "config_idx"], how="inner")
     rates = M.classification_metrics(test, [FOLD], "best_threshold")
     auc = M.roc_auc(test, [FOLD])
-    sizes = preds.where(F.col("config_idx") == F.lit(0)).groupBy(FOLD).agg(
+    rows = sizes_from if sizes_from is not None else preds.where(F.col("config_idx") == F.lit(0))
+    sizes = rows.groupBy(FOLD).agg(
         *[F.sum(F.when(F.col(SPLIT) == s, 1).otherwise(0)).cast("long").alias(f"{s}_rows") for s in ("train", "val", "test")],
         F.min(F.when(F.col(SPLIT) == "train", F.col(DATE))).alias("train_start_date"),
         F.max(F.when(F.col(SPLIT) == "train", F.col(DATE))).alias("train_end_date"),
