@@ -25,7 +25,7 @@ def to_double(c: str | Column, source_type: str | None = None) -> Column:
     """Numeric coercion (unparseable text becomes NULL, NaN becomes NULL)."""
     c = col_(c)
     if source_type is None or source_type == "string":
-        c = F.try_cast(F.trim(c.cast("string")) if source_type == "string" else c, "double")
+        c = (F.trim(c.cast("string")) if source_type == "string" else c).try_cast("double")
     else:
         c = c.cast("double")
     return null_if_nan(c)
@@ -49,7 +49,7 @@ def parse_date(c: str | Column, source_type: str | None = None) -> Column:
     text = F.trim(c.cast("string"))
     # A timestamp rendered as text keeps only its date part.
     text = F.when(F.length(text) > 10, F.substring(text, 1, 10)).otherwise(text)
-    return F.coalesce(*[F.try_to_date(text, F.lit(p)) for p in DATE_PATTERNS])
+    return F.coalesce(*[F.try_to_date(text, p) for p in DATE_PATTERNS])
 
 
 def ratio_gap(num: Column, den: Column) -> Column:

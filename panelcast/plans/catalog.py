@@ -118,3 +118,4 @@ def q_training_frame(spark, sf_dir):
 from panelcast.plans import catalog_eval  # noqa: E402,F401
 from panelcast.plans import catalog_final  # noqa: E402,F401
 from panelcast.plans import catalog_models  # noqa: E402,F401
+from panelcast.plans import catalog_sources  # noqa: E402,F401
