@@ -87,4 +87,5 @@ def snap_to_grid(thr: Column, lo: float, hi: float, step: float) -> Column:
     offset = F.bround((clipped - F.lit(lo)) / F.lit(step), 0)
     snapped = F.lit(lo) + offset * F.lit(step)
     snapped = F.least(F.greatest(snapped, F.lit(lo)), F.lit(hi))
-    return F.round(snapped, 2)
+    # greatest/least skip NULLs: keep a missing threshold missing.
+    return F.when(thr.isNotNull(), F.round(snapped, 2))
