@@ -6,8 +6,6 @@ the whole supplied tables.  ``__spark_entry__`` exposes this registry.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,28 +14,7 @@ from panelcast.plans import oracle as O
 from panelcast.schema import DATE, FEATURE_COLUMNS, LABEL, PRICE_COLUMNS, SERIES
 from panelcast.sources import bars as B
 
-Builder = Callable[[SparkSession, str], DataFrame]
-REGISTRY: dict[str, tuple[Builder, str | None]] = {}
-
-
-def register(name: str, oracle: str | None):
-    def deco(fn: Builder) -> Builder:
-        REGISTRY[name] = (fn, oracle)
-        return fn
-
-    return deco
-
-
-def panel(spark: SparkSession, sf_dir: str, which: str = "main") -> DataFrame:
-    return B.load_panel(spark, sf_dir, which)
-
-
-def main_features(spark: SparkSession, sf_dir: str, form: str = "dataframe") -> DataFrame:
-    return feat.build_features(panel(spark, sf_dir), form=form)
-
-
-def training_frame(spark: SparkSession, sf_dir: str, form: str = "dataframe") -> DataFrame:
-    return feat.finalize(main_features(spark, sf_dir, form))
+from panelcast.plans.registry import REGISTRY, main_features, panel, register, training_frame  # noqa: F401
 
 
 # ------------------------------------------------------------------ sources

@@ -20,7 +20,7 @@ from panelcast.operators.scaling import fit_scaler, scale_rows
 from panelcast.operators.scoring import FIXTURE_SCORERS
 from panelcast.plans import evaluation as E
 from panelcast.plans import oracle as O
-from panelcast.plans.catalog import register, training_frame
+from panelcast.plans.registry import register, training_frame
 from panelcast.schema import DATE, DEFAULT_FEATURES, SERIES
 from panelcast.session import materialize
 from panelcast.sources import bars as B
