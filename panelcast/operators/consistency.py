@@ -127,3 +127,8 @@ def fold_stability(fold_rows: DataFrame, by: list[str] | None = None) -> DataFra
         F.stddev_pop("test_f1").alias("rolling_std_f1"),
         F.stddev_pop("best_threshold").alias("rolling_std_threshold"),
     )
+
+
+def order_consistency(rows: DataFrame) -> DataFrame:
+    """Sink order of the per-feature report: largest mean absolute difference first."""
+    return rows.orderBy(F.col("mean_abs_diff").desc_nulls_last(), F.col("column"))
