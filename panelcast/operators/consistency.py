@@ -64,29 +64,47 @@ def consistency_summary(
     names: tuple[str, str] = ("a", "b"),
 ) -> DataFrame:
     """One row: both row counts, joined rows, label mismatches (a NULL on either
-    side counts), mismatch rate, mean of mean-abs-diffs, max of max-abs-diffs."""
-    joined = join_feature_frames(left, right, features, label_col)
+    side counts), mismatch rate, mean of the per-feature mean absolute
+    differences, max of the per-feature maxima.
+
+    One full outer join and one aggregate: each side is read once.
+    """
+    keys = [SERIES, DATE]
+    cols = [*features, label_col]
+    a = left.select(*keys, *[F.col(c).alias(c + "_a") for c in cols], F.lit(True).alias("_in_a"))
+    b = right.select(*keys, *[F.col(c).alias(c + "_b") for c in cols], F.lit(True).alias("_in_b"))
+    j = a.join(b, on=keys, how="full_outer")
+    in_a = F.coalesce(F.col("_in_a"), F.lit(False))
+    in_b = F.coalesce(F.col("_in_b"), F.lit(False))
+    both = in_a & in_b
+
+    def n(cond):
+        return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("long")
+
     la, lb = F.col(label_col + "_a").cast("int"), F.col(label_col + "_b").cast("int")
-    mismatch = F.sum(F.when(F.coalesce(la != lb, F.lit(True)), F.lit(1)).otherwise(F.lit(0))).cast("long")
-    lab = joined.agg(F.count(F.lit(1)).alias("joined_rows"), mismatch.alias("label_mismatch_count"))
-    feats = feature_consistency(left, right, features, label_col, names).agg(
-        F.avg("mean_abs_diff").alias("feature_mean_abs_diff_avg"),
-        F.max("max_abs_diff").alias("feature_max_abs_diff_max"),
+    diffs = {f: F.abs(F.col(f + "_b").cast("double") - F.col(f + "_a").cast("double")) for f in features}
+    row = j.agg(
+        n(in_a).alias(f"{names[0]}_rows"),
+        n(in_b).alias(f"{names[1]}_rows"),
+        n(both).alias("joined_rows"),
+        n(both & F.coalesce(la != lb, F.lit(True))).alias("label_mismatch_count"),
+        *[F.avg(F.when(both, d)).alias(f"_mad_{i}") for i, d in enumerate(diffs.values())],
+        *[F.max(F.when(both, d)).alias(f"_mx_{i}") for i, d in enumerate(diffs.values())],
     )
-    out = combine_rows(
-        left.agg(F.count(F.lit(1)).alias(f"{names[0]}_rows")),
-        right.agg(F.count(F.lit(1)).alias(f"{names[1]}_rows")),
-        lab,
-        feats,
-    )
-    return out.select(
+    k = len(features)
+    mads = [F.col(f"_mad_{i}") for i in range(k)]
+    total = sum((F.coalesce(m, F.lit(0.0)) for m in mads), F.lit(0.0))
+    count = sum((F.when(m.isNotNull(), F.lit(1)).otherwise(F.lit(0)) for m in mads), F.lit(0))
+    mean_mad = F.when(count > 0, total / count).otherwise(F.lit(0.0))
+    max_mx = F.coalesce(F.greatest(*[F.col(f"_mx_{i}") for i in range(k)]) if k > 1 else F.col("_mx_0"), F.lit(0.0))
+    return row.select(
         f"{names[0]}_rows",
         f"{names[1]}_rows",
         "joined_rows",
         "label_mismatch_count",
         safe_ratio(F.col("label_mismatch_count"), F.greatest(F.col("joined_rows"), F.lit(1))).alias("label_mismatch_rate"),
-        F.coalesce(F.col("feature_mean_abs_diff_avg"), F.lit(0.0)).alias("feature_mean_abs_diff_avg"),
-        F.coalesce(F.col("feature_max_abs_diff_max"), F.lit(0.0)).alias("feature_max_abs_diff_max"),
+        mean_mad.alias("feature_mean_abs_diff_avg"),
+        max_mx.alias("feature_max_abs_diff_max"),
     )
 
 

@@ -158,15 +158,40 @@ def roc_auc(
 ) -> DataFrame:
     """Exact ROC AUC per group; ties count one half; NULL when a class is missing.
 
-    AUC = sum over distinct scores s of pos(s) * (neg below s + neg(s)/2) / (P * N).
+    AUC * P * N = sum over distinct scores s of pos(s) * (neg below s + neg(s)/2).
+    The distinct scores are range-partitioned on (group, score); within each
+    range partition a running window gives the negatives below each score
+    inside the partition, and one aggregate per (group, partition) returns
+    its positives, negatives and local sum.  The negatives of the earlier
+    partitions of a group (a running sum over a table of at most
+    groups + partitions rows) complete the count.  Everything flows from one
+    range exchange in one branch, so partition ids are consistent without
+    materialising anything; every term is an integer or a half, so the sum is
+    exact in any order.
     """
+    spark = preds.sparkSession
+    n_parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     hist = score_histogram(preds, by, prob_col, label_col)
-    ranked = prefix_sums(hist, by, "score", ["neg"], parts)
-    contrib = F.col("pos").cast("double") * (F.col("neg_before").cast("double") + F.col("neg").cast("double") / 2.0)
-    agg = ranked.groupBy(*by).agg(
-        F.sum(contrib).alias("_u"), F.sum("pos").alias("_p"), F.sum("neg").alias("_n")
+    ranged = hist.repartitionByRange(n_parts, *[F.col(c) for c in by], F.col("score")).withColumn(
+        "_pid", F.spark_partition_id()
+    )
+    inside = Window.partitionBy(*by, "_pid").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_nb", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
+    term = F.col("pos").cast("double") * (F.col("_nb").cast("double") + F.col("neg").cast("double") / 2.0)
+    per_part = local.groupBy(*by, "_pid").agg(
+        F.sum("pos").alias("_pp"), F.sum("neg").alias("_pn"), F.sum(term).alias("_pl")
+    )
+    earlier = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    per_part = per_part.withColumn("_off", F.coalesce(F.sum("_pn").over(earlier), F.lit(0)))
+    agg = per_part.groupBy(*by).agg(
+        F.sum(F.col("_pl") + F.col("_off").cast("double") * F.col("_pp").cast("double")).alias("_u"),
+        F.sum("_pp").alias("_p"),
+        F.sum("_pn").alias("_n"),
+    )
+    auc = F.when(
+        (F.col("_p") > 0) & (F.col("_n") > 0),
+        F.col("_u") / (F.col("_p").cast("double") * F.col("_n").cast("double")),
     )
-    auc = F.when((F.col("_p") > 0) & (F.col("_n") > 0), F.col("_u") / (F.col("_p").cast("double") * F.col("_n").cast("double")))
     return agg.select(*by, auc.alias("roc_auc"), F.col("_p").alias("positives"), F.col("_n").alias("negatives"))
 
 
