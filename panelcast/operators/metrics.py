@@ -212,3 +212,11 @@ def roc_curve(
         F.when(F.col("_n") > 0, fp / F.col("_n")).alias("fpr"),
         F.when(F.col("_p") > 0, tp / F.col("_p")).alias("tpr"),
     )
+
+
+def with_confusion_matrix(counts: DataFrame) -> DataFrame:
+    """Nested ``confusion_matrix`` = [[TN, FP], [FN, TP]] for record sinks."""
+    return counts.withColumn(
+        "confusion_matrix",
+        F.array(F.array(F.col("tn"), F.col("fp")), F.array(F.col("fn"), F.col("tp"))),
+    )
