@@ -192,6 +192,38 @@ def q_consistency_summary(spark, sf_dir):
     return C.consistency_summary(a, b, FEATURE_COLUMNS, names=("dataframe", "sql"))
 
 
+_CONS_TRAIN = [
+    O.bars_cte("main"),
+    O.features_cte(ddof=1, name="fa"),
+    O.features_cte(ddof=0, name="fb"),
+    O.training_cte(src="fa", name="ta"),
+    O.training_cte(src="fb", name="tb"),
+    f"""jt AS (
+    SELECT {", ".join(f"a.{c} AS {c}_a, b.{c} AS {c}_b" for c in FEATS + [LABEL])}
+    FROM ta a JOIN tb b USING (series_id, bar_date)
+)""",
+]
+
+
+@register(
+    "feature_consistency_training",
+    _sql(
+        _CONS_TRAIN,
+        "\nUNION ALL\n".join(
+            f"SELECT '{c}' AS column, count(abs({c}_b - {c}_a)) AS count, avg(abs({c}_b - {c}_a)) AS mean_abs_diff, "
+            f"max(abs({c}_b - {c}_a)) AS max_abs_diff, avg({c}_a) AS dataframe_mean, avg({c}_b) AS sql_mean, "
+            f"avg(abs({c}_b - {c}_a)) / (abs(avg({c}_a)) + 1e-12::DOUBLE) AS mean_rel_diff FROM jt"
+            for c in FEATS
+        ),
+    ),
+)
+def q_feature_consistency_training(spark, sf_dir):
+    """The two engines compared on their finished training frames and the configured columns."""
+    a = training_frame(spark, sf_dir, "dataframe")
+    b = training_frame(spark, sf_dir, "sql")
+    return C.feature_consistency(a, b, FEATS, names=("dataframe", "sql"))
+
+
 # ------------------------------------------------------------- run compare
 
 RUN_METRICS = [

@@ -95,12 +95,15 @@ def features_cte(ddof: int = 1, src: str = "bars", name: str = "feat") -> str:
 DEFAULT_FEATURES = ["open", "high", "low", "close", "vol", "pct_chg", "ma5", "ma10", "ret_5"]
 
 
-def training_cte(features: list[str] | None = None, src: str = "feat", name: str = "train_frame") -> str:
+def training_cte(features: list[str] | None = None, src: str = "feat", name: str = "train_frame", min_rows: int = 50) -> str:
     feats = features or DEFAULT_FEATURES
     cols = ", ".join(feats)
     nn = " AND ".join(f"{c} IS NOT NULL" for c in feats + ["target_up"])
     return f"""{name} AS (
-    SELECT series_id, bar_date, {cols}, target_up FROM {src} WHERE {nn}
+    SELECT * EXCLUDE (n_series) FROM (
+        SELECT series_id, bar_date, {cols}, target_up, count(*) OVER (PARTITION BY series_id) AS n_series
+        FROM {src} WHERE {nn}
+    ) WHERE n_series >= {min_rows}
 )"""
 
 
