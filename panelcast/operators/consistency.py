@@ -108,13 +108,24 @@ def consistency_summary(
     )
 
 
+def one_row_struct(one_row: DataFrame):
+    """The single row of ``one_row`` as a struct-valued scalar subquery (no join).
+
+    Evaluated once, before the query that uses it; NULL when the frame is empty.
+    """
+    return one_row.select(F.struct(*[F.col(c) for c in one_row.columns]).alias("_s")).scalar()
+
+
 def combine_rows(*one_row_frames: DataFrame) -> DataFrame:
-    """Put several one-row aggregates side by side (equi-join on a constant key)."""
-    keyed = [df.withColumn("_one", F.lit(1)) for df in one_row_frames]
-    out = keyed[0]
-    for df in keyed[1:]:
-        out = out.join(df, on="_one", how="inner")
-    return out.drop("_one")
+    """Put several one-row aggregates side by side as one row.
+
+    Each frame becomes one scalar subquery returning a struct, so there is no
+    join between them (a join of one-row tables would plan as a cross product).
+    """
+    spark = one_row_frames[0].sparkSession
+    subs = [one_row_struct(df).alias(f"_s{i}") for i, df in enumerate(one_row_frames)]
+    cols = [F.col(f"_s{i}.{c}").alias(c) for i, df in enumerate(one_row_frames) for c in df.columns]
+    return spark.range(1).select(*subs).select(*cols)
 
 
 def unpivot_metrics(row: DataFrame, metrics: list[str], value_name: str) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.columns import snap_to_grid
 from panelcast.operators import metrics as M
-from panelcast.operators.consistency import combine_rows
+from panelcast.operators.consistency import combine_rows, one_row_struct
 from panelcast.operators import selection as S
 from panelcast.operators import thresholds as T
 from panelcast.operators.errors import error_cases, error_summary
@@ -115,9 +115,10 @@ def final_predictions(
     tagged = split_by_time(frame, spec.folds.train_ratio, spec.folds.val_ratio, spec.folds.test_ratio)
     scaled = scale_rows(tagged, spec.features, spec.scaler_scope, by=[])
     preds = score_rows(scaled, spec.features, scorers or FIXTURE_SCORERS, keep=[SERIES, SPLIT, DATE])
-    # best_cfg has one row.  The result feeds validation tuning and the test
-    # metrics, so it is materialised once.
-    return materialize(preds.join(F.broadcast(best_cfg.select("config_idx")), on="config_idx", how="inner"))
+    # best_cfg has one row: its config is a scalar, so this is a filter, not a
+    # join.  The result feeds validation tuning and the test metrics, so it is
+    # materialised once.
+    return materialize(preds.where(F.col("config_idx") == best_cfg.select("config_idx").scalar()))
 
 
 def final_threshold_row(final_preds: DataFrame, fold_res: DataFrame, spec: EvalSpec = EvalSpec()) -> DataFrame:
@@ -159,10 +160,10 @@ def final_errors(test_preds: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def combine_with_row(rows: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach the columns of a one-row table to every row (broadcast, constant key)."""
-    return rows.withColumn("_one", F.lit(1)).join(
-        F.broadcast(one_row.withColumn("_one", F.lit(1))), on="_one", how="inner"
-    ).drop("_one")
+    """Attach the columns of a one-row table to every row as scalar-subquery values (no join)."""
+    return rows.withColumn("_ctx", one_row_struct(one_row)).select(
+        *[F.col(c) for c in rows.columns], *[F.col(f"_ctx.{c}").alias(c) for c in one_row.columns]
+    )
 
 
 @dataclass

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from panelcast.operators.consistency import combine_rows
 from panelcast.operators.scoring import predict_class
 from panelcast.schema import DATE, SERIES
 
@@ -27,10 +26,12 @@ def signal_export(
     ``threshold_row`` is one row with ``threshold``."""
     latest_w = Window.partitionBy(SERIES).orderBy(F.col(DATE).desc())
     latest = scored.withColumn("_rn", F.row_number().over(latest_w)).where(F.col("_rn") == 1).drop("_rn")
-    newest = scored.agg(F.max(DATE).alias("_panel_last"))
-    ctx = combine_rows(threshold_row.select("threshold"), newest)
-    out = latest.withColumn("_one", F.lit(1)).join(
-        F.broadcast(ctx.withColumn("_one", F.lit(1))), on="_one", how="inner"
+    # Two scalars (final threshold, newest bar of the panel) as subqueries: no join.
+    out = latest.withColumns(
+        {
+            "threshold": threshold_row.select("threshold").scalar(),
+            "_panel_last": scored.agg(F.max(DATE)).scalar(),
+        }
     )
     return out.select(
         SERIES,
