@@ -66,6 +66,9 @@ class FitOptions:
     calibration: str = "none"
     calib_cv: int = 3
     block_size: int = 128
+    # Independent fits submitted together from driver threads (as Spark ML's
+    # tuners do); the scheduler runs their jobs side by side on the cluster.
+    parallelism: int = 4
 
     def __post_init__(self) -> None:
         if self.max_iter <= 0:
@@ -174,8 +177,14 @@ def fit_prob_model(rows: DataFrame, features: list[str], cfg: MlpConfig, opts: F
 # --------------------------------------------------------- rolling / final
 
 
-def _keep(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.select(*cols)
+def _run_parallel(fn, tasks: list, parallelism: int) -> list:
+    """Run independent fit tasks from a small driver thread pool, results in task order."""
+    if parallelism <= 1 or len(tasks) <= 1:
+        return [fn(t) for t in tasks]
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks))) as pool:
+        return list(pool.map(fn, tasks))
 
 
 def _as_preds(scored: DataFrame, cfg: MlpConfig, keys: list[str]) -> DataFrame:
@@ -205,24 +214,27 @@ def rolling_mlp(
     feats = spec.features
     keys = [SERIES, FOLD, SPLIT, DATE]
     folds = [r[FOLD] for r in scaled.select(FOLD).distinct().orderBy(FOLD).collect()]  # fold ids only
-    val_parts = []
-    for f in folds:
+
+    def fit_and_score(task):
+        f, cfg = task
         in_fold = scaled.where(F.col(FOLD) == f)
-        train = in_fold.where(F.col(SPLIT) == "train")
-        val = in_fold.where(F.col(SPLIT) == "val")
-        for cfg in grid:
-            score = fit_prob_model(train, feats, cfg, opts)
-            val_parts.append(_as_preds(score(val), cfg, keys))
+        score = fit_prob_model(in_fold.where(F.col(SPLIT) == "train"), feats, cfg, opts)
+        return _as_preds(score(in_fold.where(F.col(SPLIT) == "val")), cfg, keys)
+
+    val_parts = _run_parallel(fit_and_score, [(f, cfg) for f in folds for cfg in grid], opts.parallelism)
     val_preds = materialize(reduce(DataFrame.unionByName, val_parts))
     cands = E.config_candidates(val_preds, spec)
     choice = materialize(E.fold_choice(cands, spec))
     chosen = {r[FOLD]: r["config_idx"] for r in choice.select(FOLD, "config_idx").collect()}  # one row per fold
     by_idx = {c.config_idx: c for c in grid}
-    test_parts = []
-    for f, idx in sorted(chosen.items()):
+
+    def refit_and_test(task):
+        f, idx = task
         in_fold = scaled.where(F.col(FOLD) == f)
         score = fit_prob_model(in_fold.where(F.col(SPLIT).isin("train", "val")), feats, by_idx[idx], opts)
-        test_parts.append(_as_preds(score(in_fold.where(F.col(SPLIT) == "test")), by_idx[idx], keys))
+        return _as_preds(score(in_fold.where(F.col(SPLIT) == "test")), by_idx[idx], keys)
+
+    test_parts = _run_parallel(refit_and_test, sorted(chosen.items()), opts.parallelism)
     test_preds = materialize(reduce(DataFrame.unionByName, test_parts))
     fold_rows = E.fold_results(test_preds, choice, spec, sizes_from=scaled)
     names = F.create_map(*[x for c in grid for x in (F.lit(c.config_idx), F.lit(c.key))])

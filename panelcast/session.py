@@ -20,6 +20,9 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # Materialised intermediates are compressed, and removed once unreferenced.
+    "spark.checkpoint.compress": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -39,21 +42,30 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder, setting a scratch one only when unset.
+    """Return the cluster's checkpoint folder, setting a scratch one only in local mode.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  A fresh local folder is created only when nothing is configured
+    is; when it is missing there, this raises instead of falling back to a
+    machine-local folder that other executors could not read.  A fresh local
+    folder is created only for a ``local[...]`` master with nothing configured
     (tests, the bench).
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if not current:
+        try:
+            current = spark.conf.get("spark.checkpoint.dir")
+        except Exception:  # noqa: BLE001 - unset key
+            current = None
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
-        return current
+        return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="panelcast-ckpt-")
     sc.setCheckpointDir(path)
-    return path
+    return sc.getCheckpointDir() or path
 
 
 def materialize(df):
