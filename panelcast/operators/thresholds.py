@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.columns import snap_to_grid
 from panelcast.functions.grid import Grid
-from panelcast.operators.metrics import fbeta
 from panelcast.functions.columns import safe_ratio
+from panelcast.operators.metrics import fbeta
 
 # Threshold goals and their beta.
 GOAL_BETA = {"f0.5": 0.5, "f1": 1.0, "f2": 2.0}
@@ -26,6 +26,10 @@ GOAL_BETA = {"f0.5": 0.5, "f1": 1.0, "f2": 2.0}
 
 @dataclass(frozen=True)
 class TuneOptions:
+    # The reference's default tuning options (goal f0.5, grid
+    # 0.30..0.70 step 0.01, threshold band 0.01, anchor 0.50, config band 0.001,
+    # precision floor 0.56, recall floor 0.62, floor penalty 1.2, final
+    # threshold from validation, config std penalty 0.20, threshold std penalty 0.12).
     goal: str = "f0.5"
     beta: float = 1.0
     grid: Grid = Grid()

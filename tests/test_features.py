@@ -115,3 +115,19 @@ def test_bars_from_lineitem_open_close(spark):
     out = B.bars_from_lineitem(li).orderBy("bar_date").collect()
     assert (out[0]["open"], out[0]["close"], out[0]["high"], out[0]["low"], out[0]["vol"]) == (10.0, 30.0, 30.0, 10.0, 5.0)
     assert out[0]["pct_chg"] is None and math.isclose(out[1]["pct_chg"], 100 * (15 / 30 - 1))
+
+
+def test_two_moment_population_volatility_matches_builtin(spark):
+    import random
+
+    rnd = random.Random(9)
+    closes = [100.0]
+    for _ in range(40):
+        closes.append(closes[-1] * (1 + rnd.uniform(-0.03, 0.03)))
+    bars = daily(spark, closes)
+    a = _rows(feat.features_sql(bars, ddof=0))
+    b = _rows(feat.features_sql(bars, ddof=0, std_form="two_moment"))
+    for x, y in zip(a, b):
+        for n in (5, 10, 20):
+            u, v = x[f"volatility_{n}"], y[f"volatility_{n}"]
+            assert (u is None and v is None) or math.isclose(u, v, rel_tol=1e-6, abs_tol=1e-12)
