@@ -356,3 +356,70 @@ def fit_for_latest(training: DataFrame, spec: E.EvalSpec, cfg: MlpConfig, opts:
     scaled = scale_rows(tagged, spec.features, "series", by=[])
     model = fit_mlp(scaled.where(F.col(SPLIT).isin("train", "val")), spec.features, cfg, opts)
     return frame, model, scaler
+
+
+# ------------------------------------------------------- sequence classifier
+
+
+@dataclass
+class SequenceRun:
+    metrics: DataFrame
+    predictions: DataFrame
+
+
+def train_sequence_model(
+    training: DataFrame,
+    spec: E.EvalSpec = E.EvalSpec(),
+    hidden: tuple[int, ...] = (64,),
+    opts: FitOptions = FitOptions(),
+    threshold: float = 0.5,
+) -> SequenceRun:
+    """Time split -> train-only scaler -> L-row windows per split -> classifier
+    on the flattened window -> validation loss and test metrics at a fixed
+    threshold, with the test predictions.
+
+    Windows never cross a split.  The window is flattened to L*F inputs (oldest
+    row first) for Spark's multilayer perceptron.
+    """
+    from pyspark.ml.functions import array_to_vector
+
+    from panelcast.operators.sequences import build_sequences
+    from panelcast.operators.splits import split_sizes
+
+    tagged = split_by_time(training, spec.folds.train_ratio, spec.folds.val_ratio, spec.folds.test_ratio)
+    scaled = scale_rows(tagged, spec.features, spec.scaler_scope, by=[])
+    seqs = build_sequences(scaled, spec.features, spec.seq_len, within=[SPLIT])
+    flat = materialize(
+        seqs.select(
+            SERIES, SPLIT, F.col("end_date").alias(DATE),
+            array_to_vector(F.flatten("x")).alias("features"), F.col("y").cast("double").alias("label"),
+        )
+    )
+    width = spec.seq_len * len(spec.features)
+    mlp = MultilayerPerceptronClassifier(
+        layers=[width, *hidden, 2], maxIter=opts.max_iter, seed=opts.seed, blockSize=opts.block_size
+    )
+    model = mlp.fit(flat.where(F.col(SPLIT) == "train"))
+    scored = model.transform(flat.where(F.col(SPLIT).isin("val", "test"))).select(
+        SERIES, SPLIT, DATE, F.col("label").cast("int").alias("y_true"),
+        vector_to_array(F.col("probability"))[1].alias("up_prob"),
+    )
+    p = F.least(F.greatest(F.col("up_prob"), F.lit(1e-15)), F.lit(1.0 - 1e-15))
+    scored = materialize(scored.withColumn("logit", F.log(p / (F.lit(1.0) - p))))
+    val_loss = M.log_loss(scored.where(F.col(SPLIT) == "val").withColumn("_g", F.lit(0)), ["_g"]).select(
+        F.col("log_loss").alias("val_loss")
+    )
+    test = scored.where(F.col(SPLIT) == "test").withColumn("y_pred", predict_class(F.col("up_prob"), threshold))
+    rates = M.with_confusion_matrix(M.confusion(test, [], F.lit(float(threshold)))).select(
+        "tn", "fp", "fn", "tp", "confusion_matrix"
+    )
+    rates = M.with_rates(rates).select("accuracy", "f1", "confusion_matrix")
+    sizes = split_sizes(tagged).groupBy().pivot(SPLIT, ["train", "val", "test"]).agg(F.first("rows"))
+    samples = flat.groupBy().pivot(SPLIT, ["train", "val", "test"]).agg(F.count(F.lit(1)))
+    metrics = combine_rows(
+        sizes.select(F.struct("train", "val", "test").alias("split_rows")),
+        samples.select(F.struct("train", "val", "test").alias("sequence_samples")),
+        val_loss,
+        rates,
+    ).withColumns({"threshold": F.lit(float(threshold)), "sequence_length": F.lit(spec.seq_len)})
+    return SequenceRun(metrics, test.select(SERIES, DATE, "y_true", "up_prob", "y_pred"))
