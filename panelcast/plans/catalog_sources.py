@@ -115,3 +115,15 @@ def q_file_digest(spark, sf_dir):
 )
 def q_duplicate_bars(spark, sf_dir):
     return B.duplicate_bars(panel(spark, sf_dir))
+
+
+@register("features_bucketed", O.with_(O.bars_cte("main"), O.features_cte(ddof=1)) + "SELECT * FROM feat")
+def q_features_bucketed(spark, sf_dir):
+    """Bars stored once bucketed and sorted by series, then all features with no shuffle."""
+    from panelcast.operators import features as feat
+
+    path = _scratch(spark, "bars_bucketed", sf_dir)
+    name = "panelcast_bars_" + os.path.basename(path).replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bars = ST.write_bucketed(panel(spark, sf_dir), name, path, buckets, [SERIES], [SERIES, DATE])
+    return feat.features_dataframe(bars)

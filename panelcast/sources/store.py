@@ -82,3 +82,18 @@ def check_fingerprint(actual: DataFrame, expected: dict | None) -> None:
     bad = {k: (v, row.get(k)) for k, v in expected.items() if row.get(k) != v}
     if bad:
         raise ValueError(f"fingerprint mismatch (expected, actual): {bad}")
+
+
+def write_bucketed(
+    df: DataFrame, name: str, path: str, buckets: int, by: list[str], sort_by: list[str] | None = None
+) -> DataFrame:
+    """Store ``df`` as a table bucketed (and sorted) on ``by`` at ``path``; return the table.
+
+    Written once, the table carries its hash partitioning: every later
+    ``PARTITION BY by`` window or aggregation on it plans without an Exchange.
+    """
+    w = df.write.mode("overwrite").format("parquet").bucketBy(buckets, *by)
+    if sort_by:
+        w = w.sortBy(*sort_by)
+    w.option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
