@@ -215,7 +215,7 @@ FROM (
       SELECT *, usable_rows - (greatest(least(greatest(CAST(trunc(usable_rows * 0.7::DOUBLE) AS INTEGER), 120),
                                               usable_rows - 2 * vl - 40), 120) + 2 * vl) AS remain
       FROM (
-        SELECT series_id, CAST(count(*) AS INTEGER) AS n_rows, {usable.replace(n, "count(*)")} AS usable_rows,
+        SELECT series_id, CAST(count(*) AS INTEGER) AS n_rows, CAST({usable.replace(n, "count(*)")} AS INTEGER) AS usable_rows,
                greatest(CAST(trunc(({usable.replace(n, "count(*)")}) * 0.15::DOUBLE) AS INTEGER), 40) AS vl
         FROM train_frame GROUP BY series_id
       )
