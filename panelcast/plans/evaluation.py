@@ -185,9 +185,11 @@ def rolling_run(training: DataFrame, spec: EvalSpec = EvalSpec(), scorers: list[
     """
     frame = materialize(eval_frame(training, spec))
     preds = materialize(rolling_predictions(frame, spec, scorers))
-    cands = config_candidates(preds, spec)
+    # Small (folds x configs rows) but built from the whole prediction table and
+    # read by the choice, the stability score and the final threshold.
+    cands = materialize(config_candidates(preds, spec))
     choice = fold_choice(cands, spec)
-    folds = fold_results(preds, choice, spec)
+    folds = materialize(fold_results(preds, choice, spec))
     stab = S.config_stability(cands, spec.tune)
     best = S.best_config(stab)
     return RollingRun(frame, preds, cands, choice, folds, stab, best)
