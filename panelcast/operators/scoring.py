@@ -74,3 +74,29 @@ def predict_class(prob: Column, threshold: Column | float) -> Column:
     """1 when ``prob >= threshold`` (inclusive), else 0."""
     thr = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     return (prob >= thr).cast("int")
+
+
+def score_chosen(
+    rows: DataFrame,
+    features: list[str],
+    scorers: list[LinearScorer],
+    choice: Column,
+    keep: list[str],
+    label_col: str = "target_up",
+) -> DataFrame:
+    """Score each row with one scorer picked by ``choice`` (e.g. a scalar subquery).
+
+    One output row per input row: the chosen coefficient table is selected by
+    a CASE, so the other configurations are never computed or stored.
+    """
+    logit = None
+    for s in scorers:
+        branch = s.logit(features)
+        logit = F.when(choice == s.config_idx, branch) if logit is None else logit.when(choice == s.config_idx, branch)
+    out = rows.select(
+        *keep,
+        choice.cast("int").alias("config_idx"),
+        F.col(label_col).cast("int").alias("y_true"),
+        logit.alias("logit"),
+    )
+    return out.withColumn("up_prob", sigmoid(F.col("logit")))

@@ -24,7 +24,7 @@ from panelcast.operators import selection as S
 from panelcast.operators import thresholds as T
 from panelcast.operators.errors import error_cases, error_summary
 from panelcast.operators.scaling import scale_rows
-from panelcast.operators.scoring import FIXTURE_SCORERS, LinearScorer, predict_class, score_rows
+from panelcast.operators.scoring import FIXTURE_SCORERS, LinearScorer, predict_class, score_chosen, score_rows
 from panelcast.operators.splits import FOLD, SPLIT, FoldSpec, fold_membership, split_by_time, warmup_cut
 from panelcast.schema import DATE, DEFAULT_FEATURES, SEQUENCE_LENGTH, SERIES
 from panelcast.session import materialize
@@ -50,10 +50,19 @@ def rolling_scaled(frame: DataFrame, spec: EvalSpec = EvalSpec()) -> DataFrame:
 
 
 def rolling_predictions(
-    frame: DataFrame, spec: EvalSpec = EvalSpec(), scorers: list[LinearScorer] | None = None
+    frame: DataFrame,
+    spec: EvalSpec = EvalSpec(),
+    scorers: list[LinearScorer] | None = None,
+    splits: tuple[str, ...] | None = None,
 ) -> DataFrame:
-    """``series_id, fold_id, split, bar_date, config_idx, y_true, logit, up_prob``."""
+    """``series_id, fold_id, split, bar_date, config_idx, y_true, logit, up_prob``.
+
+    ``splits`` limits scoring to some parts (tuning reads only ``val`` and
+    ``test``); the filter comes after scaling, which needs the train rows.
+    """
     scaled = rolling_scaled(frame, spec)
+    if splits is not None:
+        scaled = scaled.where(F.col(SPLIT).isin(*splits))
     return score_rows(scaled, spec.features, scorers or FIXTURE_SCORERS, keep=[SERIES, FOLD, SPLIT, DATE])
 
 
@@ -114,11 +123,13 @@ def final_predictions(
     """Time split (train/val/test), scaler from train, scores of the chosen config."""
     tagged = split_by_time(frame, spec.folds.train_ratio, spec.folds.val_ratio, spec.folds.test_ratio)
     scaled = scale_rows(tagged, spec.features, spec.scaler_scope, by=[])
-    preds = score_rows(scaled, spec.features, scorers or FIXTURE_SCORERS, keep=[SERIES, SPLIT, DATE])
-    # best_cfg has one row: its config is a scalar, so this is a filter, not a
-    # join.  The result feeds validation tuning and the test metrics, so it is
-    # materialised once.
-    return materialize(preds.where(F.col("config_idx") == best_cfg.select("config_idx").scalar()))
+    # best_cfg has one row: its config is a scalar subquery that picks the
+    # coefficient table per row (no join, no scoring of the other configs).
+    # Tuning and metrics read only validation and test rows.  The result feeds
+    # both, so it is materialised once.
+    scaled = scaled.where(F.col(SPLIT).isin("val", "test"))
+    choice = best_cfg.select("config_idx").scalar()
+    return materialize(score_chosen(scaled, spec.features, scorers or FIXTURE_SCORERS, choice, keep=[SERIES, SPLIT, DATE]))
 
 
 def final_threshold_row(final_preds: DataFrame, fold_res: DataFrame, spec: EvalSpec = EvalSpec()) -> DataFrame:
@@ -184,12 +195,12 @@ def rolling_run(training: DataFrame, spec: EvalSpec = EvalSpec(), scorers: list[
     branches, so both are materialised once.
     """
     frame = materialize(eval_frame(training, spec))
-    preds = materialize(rolling_predictions(frame, spec, scorers))
+    preds = materialize(rolling_predictions(frame, spec, scorers, splits=("val", "test")))
     # Small (folds x configs rows) but built from the whole prediction table and
     # read by the choice, the stability score and the final threshold.
     cands = materialize(config_candidates(preds, spec))
     choice = fold_choice(cands, spec)
-    folds = materialize(fold_results(preds, choice, spec))
+    folds = materialize(fold_results(preds, choice, spec, sizes_from=fold_membership(frame, spec.folds)))
     stab = S.config_stability(cands, spec.tune)
     best = S.best_config(stab)
     return RollingRun(frame, preds, cands, choice, folds, stab, best)

@@ -22,7 +22,8 @@ EXPORT_COLUMNS = [
 def signal_export(
     scored: DataFrame, threshold_row: DataFrame, model_version: str, feature_engine: str
 ) -> DataFrame:
-    """``scored`` holds ``series_id, bar_date, config_idx, up_prob`` for every bar;
+    """``scored`` holds ``series_id, bar_date, config_idx, up_prob`` for at least
+    the newest bar of every series (the test part of the final split does);
     ``threshold_row`` is one row with ``threshold``."""
     latest_w = Window.partitionBy(SERIES).orderBy(F.col(DATE).desc())
     latest = scored.withColumn("_rn", F.row_number().over(latest_w)).where(F.col("_rn") == 1).drop("_rn")
