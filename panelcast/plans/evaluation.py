@@ -194,7 +194,9 @@ def rolling_run(training: DataFrame, spec: EvalSpec = EvalSpec(), scorers: list[
     The cut frame and the prediction table are each read by several
     branches, so both are materialised once.
     """
-    frame = materialize(eval_frame(training, spec))
+    # Bucketed on the series key: fold scaling and the final split's windows
+    # reuse that partitioning instead of shuffling the frame again.
+    frame = materialize(eval_frame(training, spec), bucket_by=[SERIES])
     preds = materialize(rolling_predictions(frame, spec, scorers, splits=("val", "test")))
     # Small (folds x configs rows) but built from the whole prediction table and
     # read by the choice, the stability score and the final threshold.

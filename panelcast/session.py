@@ -68,13 +68,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def materialize(df):
+def materialize(df, bucket_by: list[str] | None = None, buckets: int | None = None):
     """Write ``df`` once to the checkpoint folder and read it back (lineage cut).
 
     Used for intermediates that several branches of one query read (the
     prediction table feeds the sweep, the fold metrics, AUC and the final
     split): computing them once instead of once per branch, and from storage
     that survives the loss of an executor.
+
+    With ``bucket_by`` the data is written as a table bucketed on those
+    columns instead of an RDD checkpoint, so later windows and aggregations on
+    them still plan without an Exchange (a checkpoint forgets the
+    partitioning).
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    if not bucket_by:
+        return df.checkpoint(eager=True)
+    import uuid
+
+    name = "panelcast_tmp_" + uuid.uuid4().hex
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = root.rstrip("/") + "/tables/" + name
+    df.write.format("parquet").bucketBy(n, *bucket_by).option("path", path).saveAsTable(name)
+    return spark.table(name)
