@@ -6,9 +6,6 @@ the whole supplied tables.  ``__spark_entry__`` exposes this registry.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from panelcast.operators import features as feat
 from panelcast.plans import oracle as O
 from panelcast.schema import DATE, FEATURE_COLUMNS, LABEL, PRICE_COLUMNS, SERIES

@@ -6,13 +6,12 @@ from pyspark.sql import functions as F
 
 from panelcast.operators import consistency as C
 from panelcast.operators import features as feat
-from panelcast.operators import selection as S
 from panelcast.operators.errors import error_distribution
 from panelcast.plans import evaluation as E
 from panelcast.plans import oracle as O
 from panelcast.plans import publish as P
 from panelcast.plans.registry import panel, register, training_frame
-from panelcast.plans.catalog_eval import _CANDS, _FOLD_RES, _STAB, FEATS, SPEC, TUNE, BETA, cut_frame
+from panelcast.plans.catalog_eval import _CANDS, _FOLD_RES, _STAB, FEATS, SPEC, TUNE, BETA
 from panelcast.operators.scoring import FIXTURE_SCORERS
 from panelcast.schema import FEATURE_COLUMNS, LABEL
 

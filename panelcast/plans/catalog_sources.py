@@ -11,7 +11,7 @@ from panelcast.operators import splits as SP
 from panelcast.operators.scaling import apply_scaler, fit_scaler
 from panelcast.plans import oracle as O
 from panelcast.plans.registry import panel, register, training_frame
-from panelcast.plans.catalog_eval import _BASE, _SCALED, FEATS, cut_frame
+from panelcast.plans.catalog_eval import _SCALED, FEATS, cut_frame
 from panelcast.schema import DATE, PRICE_COLUMNS, SERIES
 from panelcast.session import ensure_checkpoint_dir
 from panelcast.sources import bars as B
