@@ -19,6 +19,10 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Joins on (series_id, bar_date) may reuse a series_id hash partitioning:
+    # a series holds at most one row per day, so co-partitioning on the series
+    # key alone cannot create the skew this guard is for.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.ui.enabled": "false",
     # Materialised intermediates are compressed, and removed once unreferenced.
     "spark.checkpoint.compress": "true",
