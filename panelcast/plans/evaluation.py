@@ -128,7 +128,9 @@ def final_predictions(
     # Tuning and metrics read only validation and test rows.  The result feeds
     # both, so it is materialised once.
     scaled = scaled.where(F.col(SPLIT).isin("val", "test"))
-    choice = best_cfg.select("config_idx").scalar()
+    chosen = best_cfg.select("config_idx").scalar()
+    # No config above -1 leaves the subquery empty: fail with the cause, lazily.
+    choice = F.when(chosen.isNull(), F.raise_error(F.lit("config choice: no candidate (every score is at or below -1)"))).otherwise(chosen)
     return materialize(score_chosen(scaled, spec.features, scorers or FIXTURE_SCORERS, choice, keep=[SERIES, SPLIT, DATE]))
 
 

@@ -56,3 +56,17 @@ def test_partitioned_sink_prunes_on_read(spark):
     back = spark.read.parquet(path).where(F.col("fold_id") == 2)
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(fold_id" in plan and back.count() == 20
+
+
+def test_final_predictions_fail_when_no_config_qualifies(spark):
+    import pytest
+
+    from conftest import daily
+    from panelcast.plans import evaluation as E
+
+    frame = daily(spark, [float(i % 7 + 1) for i in range(60)]).withColumns(
+        {"ma5": F.col("close"), "ma10": F.col("close"), "ret_5": F.lit(0.0), "target_up": F.lit(1)}
+    )
+    empty_best = spark.createDataFrame([], "config_idx int")
+    with pytest.raises(Exception, match="no candidate"):
+        E.final_predictions(frame, empty_best)
