@@ -131,3 +131,16 @@ def test_two_moment_population_volatility_matches_builtin(spark):
         for n in (5, 10, 20):
             u, v = x[f"volatility_{n}"], y[f"volatility_{n}"]
             assert (u is None and v is None) or math.isclose(u, v, rel_tol=1e-6, abs_tol=1e-12)
+
+
+def test_date_bounds():
+    import datetime as dt
+
+    import pytest
+
+    assert B.normalize_date_bound("20210104") == dt.date(2021, 1, 4)
+    assert B.normalize_date_bound("2021-01-04") == dt.date(2021, 1, 4)
+    assert B.normalize_date_bound(" 2021/01/04 ") == dt.date(2021, 1, 4)
+    assert B.normalize_date_bound("latest", today=dt.date(2026, 1, 2)) == dt.date(2026, 1, 2)
+    with pytest.raises(ValueError):
+        B.normalize_date_bound("04.01.2021")

@@ -107,3 +107,19 @@ def test_fbeta_formula(spark):
     tp, fp, fn = 2, 1, 1
     assert r["f1"] == 2 * tp / (2 * tp + fp + fn)
     assert abs(r["fbeta"] - 1.25 * tp / (1.25 * tp + 0.25 * fn + fp)) < 1e-15
+
+
+def test_weighted_log_loss_with_logits(spark):
+    import math as m
+
+    rows = [(1, 1, 2.0, 1.0), (1, 0, -1.0, 3.0), (1, 1, -0.5, 2.0)]
+    df = spark.createDataFrame(rows, "g int, y_true int, logit double, w double")
+    got = M.log_loss(df, ["g"], weight_col="w").first()["log_loss"]
+
+    def bce(y, x):
+        return max(x, 0) - x * y + m.log1p(m.exp(-abs(x)))
+
+    want = sum(bce(y, x) * w for _, y, x, w in rows) / sum(w for *_, w in rows)
+    assert abs(got - want) < 1e-12
+    plain = M.log_loss(df, ["g"]).first()["log_loss"]
+    assert abs(plain - sum(bce(y, x) for _, y, x, _ in rows) / 3) < 1e-12
