@@ -208,7 +208,8 @@ def rolling_mlp(
     """Per fold: fit each config on train, tune its threshold on validation,
     choose a config (stable pick), refit it on train+val (same scaler),
     score test at the validation threshold."""
-    frame = materialize(E.eval_frame(training, spec))
+    # Bucketed on the series key, so the fold scaling window needs no shuffle.
+    frame = materialize(E.eval_frame(training, spec), bucket_by=[SERIES])
     scaled = materialize(E.rolling_scaled(frame, spec))
     feats = spec.features
     keys = [SERIES, FOLD, SPLIT, DATE]
