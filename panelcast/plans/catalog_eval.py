@@ -37,9 +37,23 @@ def cut_frame(spark, sf_dir, form="dataframe"):
 
 
 def rolling_preds(spark, sf_dir, form="dataframe"):
+    """Scores of every fold row (all splits), for the per-split metric queries."""
     return materialize(E.rolling_predictions(cut_frame(spark, sf_dir, form), SPEC))
 
 
+def tuning(spark, sf_dir, form="dataframe"):
+    """(bucketed cut frame, validation/test scores): what the tuning queries read."""
+    return E.tuning_inputs(training_frame(spark, sf_dir, form), SPEC)
+
+
+def tuned(spark, sf_dir):
+    """Candidates, per-fold choice and fold results from the tuning inputs."""
+    frame, preds = tuning(spark, sf_dir)
+    cands = E.config_candidates(preds, SPEC)
+    choice = E.fold_choice(cands, SPEC)
+    return frame, preds, cands, choice
+
+
 # ----------------------------------------------------------------- oracle
 
 _BASE = [O.bars_cte("main"), O.features_cte(ddof=1), O.training_cte(), O.positions_cte(), O.cut_cte()]
@@ -386,7 +400,7 @@ def q_threshold_sweep(spark, sf_dir):
 
 @register("stable_threshold", _sql(_CANDS, "SELECT * FROM cands"))
 def q_stable_threshold(spark, sf_dir):
-    return E.config_candidates(rolling_preds(spark, sf_dir), SPEC)
+    return E.config_candidates(tuning(spark, sf_dir)[1], SPEC)
 
 
 @register(
@@ -394,23 +408,23 @@ def q_stable_threshold(spark, sf_dir):
     _sql(_CHOICE, "SELECT fold_id, config_idx, best_threshold, val_score_best, val_f1_best, threshold_goal FROM choice"),
 )
 def q_config_choice(spark, sf_dir):
-    return E.fold_choice(E.config_candidates(rolling_preds(spark, sf_dir), SPEC), SPEC)
+    return tuned(spark, sf_dir)[3]
 
 
 @register("fold_results", _sql(_FOLD_RES, "SELECT * FROM fold_res"))
 def q_fold_results(spark, sf_dir):
-    preds = rolling_preds(spark, sf_dir)
-    return E.fold_results(preds, E.fold_choice(E.config_candidates(preds, SPEC), SPEC), SPEC)
+    frame, preds, _, choice = tuned(spark, sf_dir)
+    return E.fold_results(preds, choice, SPEC, sizes_from=SP.fold_membership(frame, SPEC.folds))
 
 
 @register("config_stability", _sql(_STAB, "SELECT * FROM stab"))
 def q_config_stability(spark, sf_dir):
-    return S.config_stability(E.config_candidates(rolling_preds(spark, sf_dir), SPEC), TUNE)
+    return S.config_stability(tuned(spark, sf_dir)[2], TUNE)
 
 
 @register("best_config", _sql(_STAB, "SELECT * FROM best_cfg"))
 def q_best_config(spark, sf_dir):
-    return S.best_config(S.config_stability(E.config_candidates(rolling_preds(spark, sf_dir), SPEC), TUNE))
+    return S.best_config(S.config_stability(tuned(spark, sf_dir)[2], TUNE))
 
 
 @register(
@@ -424,8 +438,8 @@ FROM fold_res""",
     ),
 )
 def q_final_threshold(spark, sf_dir):
-    preds = rolling_preds(spark, sf_dir)
-    res = E.fold_results(preds, E.fold_choice(E.config_candidates(preds, SPEC), SPEC), SPEC)
+    frame, preds, _, choice = tuned(spark, sf_dir)
+    res = E.fold_results(preds, choice, SPEC, sizes_from=SP.fold_membership(frame, SPEC.folds))
     return T.final_threshold(res, [], TUNE)
 
 
@@ -438,8 +452,8 @@ def q_final_threshold(spark, sf_dir):
     ),
 )
 def q_fold_stability(spark, sf_dir):
-    preds = rolling_preds(spark, sf_dir)
-    res = E.fold_results(preds, E.fold_choice(E.config_candidates(preds, SPEC), SPEC), SPEC)
+    frame, preds, _, choice = tuned(spark, sf_dir)
+    res = E.fold_results(preds, choice, SPEC, sizes_from=SP.fold_membership(frame, SPEC.folds))
     from panelcast.operators.consistency import fold_stability
 
     return fold_stability(res)
@@ -459,8 +473,7 @@ def q_error_distribution_folds(spark, sf_dir):
     from panelcast.operators.errors import error_cases, error_summary
     from panelcast.operators.scoring import predict_class
 
-    preds = rolling_preds(spark, sf_dir)
-    choice = E.fold_choice(E.config_candidates(preds, SPEC), SPEC)
+    _, preds, _, choice = tuned(spark, sf_dir)
     test = preds.where(F.col("split") == "test").join(
         F.broadcast(choice.select("fold_id", "config_idx", "best_threshold")), on=["fold_id", "config_idx"]
     )

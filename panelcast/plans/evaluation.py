@@ -179,6 +179,20 @@ def combine_with_row(rows: DataFrame, one_row: DataFrame) -> DataFrame:
     )
 
 
+def tuning_inputs(
+    training: DataFrame, spec: EvalSpec = EvalSpec(), scorers: list[LinearScorer] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The cut frame and the validation/test predictions every tuning step reads.
+
+    The frame is stored bucketed on the series key, so fold scaling and the
+    final split's windows reuse that partitioning instead of shuffling again;
+    only validation and test rows are scored, since tuning reads nothing else.
+    """
+    frame = materialize(eval_frame(training, spec), bucket_by=[SERIES])
+    preds = materialize(rolling_predictions(frame, spec, scorers, splits=("val", "test")))
+    return frame, preds
+
+
 @dataclass
 class RollingRun:
     frame: DataFrame
@@ -196,10 +210,7 @@ def rolling_run(training: DataFrame, spec: EvalSpec = EvalSpec(), scorers: list[
     The cut frame and the prediction table are each read by several
     branches, so both are materialised once.
     """
-    # Bucketed on the series key: fold scaling and the final split's windows
-    # reuse that partitioning instead of shuffling the frame again.
-    frame = materialize(eval_frame(training, spec), bucket_by=[SERIES])
-    preds = materialize(rolling_predictions(frame, spec, scorers, splits=("val", "test")))
+    frame, preds = tuning_inputs(training, spec, scorers)
     # Small (folds x configs rows) but built from the whole prediction table and
     # read by the choice, the stability score and the final threshold.
     cands = materialize(config_candidates(preds, spec))
