@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from panelcast.functions.columns import standardise
 from panelcast.operators.splits import FOLD, SPLIT
-from panelcast.schema import SERIES
+from panelcast.schema import DATE, SERIES
 
 
 def _keys(scope: str, by: list[str]) -> list[str]:
@@ -62,7 +62,9 @@ def scale_rows(
     keys = _keys(scope, list(by if by is not None else [FOLD]))
     is_train = F.col(SPLIT) == "train"
     if scope == "series":
-        w = Window.partitionBy(*keys)
+        # Ordered whole-partition frame: the sums run in date order, so the
+        # statistics (and every score after them) are the same on every run.
+        w = Window.partitionBy(*keys).orderBy(DATE).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         return rows.withColumns(
             {
                 f: standardise(
