@@ -62,9 +62,12 @@ def scale_rows(
     keys = _keys(scope, list(by if by is not None else [FOLD]))
     is_train = F.col(SPLIT) == "train"
     if scope == "series":
-        # Ordered whole-partition frame: the sums run in date order, so the
-        # statistics (and every score after them) are the same on every run.
-        w = Window.partitionBy(*keys).orderBy(DATE).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        # Ordered whole-partition frame when rows carry a date: the sums run in
+        # date order, so the statistics (and every score after them) are the
+        # same on every run.
+        w = Window.partitionBy(*keys)
+        if DATE in rows.columns:
+            w = w.orderBy(DATE).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         return rows.withColumns(
             {
                 f: standardise(
