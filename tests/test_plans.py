@@ -50,3 +50,13 @@ def test_feature_windows_share_one_exchange(spark, lineitem):
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_features_on_bucketed_panel_plan_without_exchange(spark, lineitem):
+    import re
+
+    from panelcast.plans import catalog
+
+    plan = _plan(catalog.REGISTRY["features_bucketed"][0](spark, SF))
+    assert "Bucketed: true" in plan
+    assert not re.findall(r"Exchange hashpartitioning", plan)
