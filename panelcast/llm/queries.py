@@ -1,4 +1,4 @@
 """Imports every operator module, so that its queries register."""
 
-from panelcast.llm import exact_dedup  # noqa: F401
+from panelcast.llm import exact_dedup, mixing, substring_dedup, token_files  # noqa: F401
 from panelcast.llm.registry import QUERIES  # noqa: F401
