@@ -1,4 +1,4 @@
 """Imports every operator module, so that its queries register."""
 
-from panelcast.llm import byte_bpe, exact_dedup, mixing, substring_dedup, token_files, topk  # noqa: F401
+from panelcast.llm import byte_bpe, exact_dedup, jaccard_join, mixing, substring_dedup, token_files, topk  # noqa: F401
 from panelcast.llm.registry import QUERIES  # noqa: F401

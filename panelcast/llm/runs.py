@@ -47,7 +47,7 @@ _WINDOWS = "b int, g int, k binary, k2 binary, i binary, r binary, p binary"
 class Items:
     """What a text is made of, and how its anchors are chosen.
 
-    ``cut(column)`` gives (bytes, item starts, item ends, row offsets, item hashes);
+    ``cut(column)`` gives (bytes, item starts, item ends, row offsets, item hashes, ...);
     ``anchors(hashes, row offsets)`` gives (item indices, 64-bit keys) such that two
     equal windows contain equal keys at the same place; ``span`` is how many items
     a key covers; ``within`` tells whether earlier places of the same text count.
@@ -115,27 +115,26 @@ def _rows(schema: str, rows: list[tuple]) -> pa.Table:
     )
 
 
-def shared_anchors(texts: DataFrame, groups: int, items: Items) -> DataFrame:
-    """Positions (``g, r, p``: group, row, item) of anchors that occur more than once."""
-    buckets = min(groups, MOST_BUCKETS)
+def packed_keys(rows: list[tuple]) -> pa.Table:
+    return _rows(_KEYS, rows)
+
+
+def settle_locally(g: int, keys: np.ndarray, r: np.ndarray, p: np.ndarray, buckets: int) -> list[tuple]:
+    """Packed rows of a group's keys: repeats inside the group are known already, and each key is sent once."""
+    order = np.argsort(keys, kind="stable")
+    again = ~_firsts(keys[order])
+    many = again.copy()
+    many[:-1] |= again[1:]
+    local, sent = order[many], order[~again]
+    out = [(buckets + g, g, b"", r[local].tobytes(), p[local].tobytes())] if len(local) else []
+    for b, part in by_bucket(keys[sent], buckets):
+        s = sent[part]
+        out.append((b, g, keys[s].tobytes(), r[s].tobytes(), p[s].tobytes()))
+    return out
 
-    def emit(table: pa.Table) -> pa.Table:
-        table = in_order(table)
-        g = table.column("g")[0].as_py()
-        _, _, _, rows, h = items.cut(table.column("t"))
-        index, keys = items.anchors(h, rows)
-        r, p = _place(index, rows)
-        order = np.argsort(keys, kind="stable")
-        first = _firsts(keys[order])
-        again = ~first
-        many = again.copy()
-        many[:-1] |= again[1:]  # of a key that repeats in this group
-        local, sent = order[many], order[first]
-        out = [(buckets + g, g, b"", r[local].tobytes(), p[local].tobytes())] if len(local) else []
-        out += [
-            (b, g, keys[s].tobytes(), r[s].tobytes(), p[s].tobytes()) for b, part in by_bucket(keys[sent], buckets) for s in (sent[part],)
-        ]
-        return _rows(_KEYS, out)
+
+def repeated_keys(texts: DataFrame, emit: Callable[[pa.Table], pa.Table], buckets: int) -> DataFrame:
+    """Positions (``g, r, p``) of the keys emitted by groups of texts that occur more than once."""
 
     def settle(table: pa.Table) -> pa.Table:
         if table.column("b")[0].as_py() >= buckets:
@@ -160,6 +159,19 @@ def shared_anchors(texts: DataFrame, groups: int, items: Items) -> DataFrame:
     return texts.groupBy("g").applyInArrow(emit, _KEYS).groupBy("b").applyInArrow(settle, _FLAGS)
 
 
+def shared_anchors(texts: DataFrame, groups: int, items: Items) -> DataFrame:
+    """Positions (``g, r, p``: group, row, item) of anchors that occur more than once."""
+    buckets = min(groups, MOST_BUCKETS)
+
+    def emit(table: pa.Table) -> pa.Table:
+        table = in_order(table)
+        rows, h = items.cut(table.column("t"))[3:5]
+        index, keys = items.anchors(h, rows)
+        return packed_keys(settle_locally(table.column("g")[0].as_py(), keys, *_place(index, rows), buckets))
+
+    return repeated_keys(texts, emit, buckets)
+
+
 def repeated_windows(texts: DataFrame, groups: int, items: Items) -> DataFrame:
     """Starts (``g, r, p``) of the windows that also start at an earlier place."""
     buckets, length, back = min(groups, MOST_BUCKETS), items.length, items.length - items.span
@@ -169,7 +181,7 @@ def repeated_windows(texts: DataFrame, groups: int, items: Items) -> DataFrame:
             return _rows(_WINDOWS, [])
         table = in_order(table)
         g = table.column("g")[0].as_py()
-        _, _, _, rows, h = items.cut(table.column("t"))
+        rows, h = items.cut(table.column("t"))[3:5]
         r, p = unpack(flags, "r", np.uint32), unpack(flags, "p", np.uint32)
         at = rows[r] + p.astype(np.int64)
         cover = np.zeros(len(h) + 1, np.int64)
