@@ -40,11 +40,25 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+#: Spark's own setting: shuffle files of a finished query are removed with it.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back (lineage cut, columnar)."""
-    path = scratch_dir(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Write ``df`` once to the shared folder and read it back (lineage cut, columnar).
+
+    The write's shuffle files are of no use afterwards and go when it ends, so a
+    job of several steps holds the shuffles of one step at a time.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def text_bytes(df: DataFrame, text_col: str = "text") -> int:
