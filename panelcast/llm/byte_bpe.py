@@ -55,6 +55,30 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[bytes]:
     return parts
 
 
+def splits(left: bytes, right: bytes, ranks: dict[bytes, int]) -> bool:
+    """Whether BPE of ``left + right`` never joins across the place where they meet."""
+    whole = left + right
+    parts = [whole[k : k + 1] for k in range(len(whole))]
+    none = 1 << 60
+    ranked = [ranks.get(whole[k : k + 2], none) for k in range(len(whole) - 1)]
+    gap = len(left) - 1  # the pair that spans the place
+    while ranked:
+        low = min(ranked)
+        if low == none:
+            return True
+        at = ranked.index(low)
+        if at == gap:
+            return False
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        del ranked[at]
+        gap -= at < gap
+        if at:
+            ranked[at - 1] = ranks.get(parts[at - 1] + parts[at], none)
+        if at < len(ranked):
+            ranked[at] = ranks.get(parts[at] + parts[at + 1], none)
+    return True
+
+
 class Transducer:
     """Byte pieces to token ids."""
 
@@ -63,71 +87,79 @@ class Transducer:
         # Tokens that merging their own bytes can make; others never come out of BPE.
         self.tokens = {t: i for t, i in ranks.items() if len(t) == 1 or merge(t, ranks) == [t]}
         self.bytes = {i: t for t, i in self.tokens.items()}
-        self.prefixes = {t[:k] for t in self.tokens for k in range(1, len(t) + 1)}
+        self.unfinished = {t[:k] for t in self.tokens for k in range(1, len(t))}
         self.longest = max(map(len, self.tokens), default=1)
+        self.single = [bytes((k,)) for k in range(256)]
         self.pairs: dict[tuple[int, int], bool] = {}
         self._reset()
 
     def _reset(self) -> None:
         self.number: dict[tuple, int] = {}
-        self.state: list[tuple] = []  # (last emitted token, pending bytes, last token of each pending prefix)
-        self.step: list[dict] = []  # byte -> (state, emitted ids)
-        self.flush: list = []  # ids that end the piece here
-        self.start = self._state(START, b"", ())
+        # (last emitted token, pending bytes, last token of each pending prefix, where that token begins)
+        self.state: list[tuple] = []
+        self.moves: dict[int, tuple] = {}  # 256 * state + byte -> (state, emitted ids)
+        self.start = self._state(START, b"", (), ())
 
-    def _state(self, before: int, pending: bytes, lasts: tuple) -> int:
+    def _state(self, before: int, pending: bytes, lasts: tuple, begins: tuple) -> int:
         key = (before, pending)
-        if key not in self.number:
-            self.number[key] = len(self.state)
-            self.state.append((before, pending, lasts))
-            self.step.append({})
-            self.flush.append(None)
-        return self.number[key]
+        at = self.number.get(key)
+        if at is None:
+            at = self.number[key] = len(self.state)
+            self.state.append((before, pending, lasts, begins))
+        return at
 
     def _follows(self, a: int, b: int) -> bool:
         """Whether token b may come right after token a."""
         if a == START:
             return True
-        ok = self.pairs.get((a, b))
-        if ok is None:
-            left, right = self.bytes[a], self.bytes[b]
-            if len(self.pairs) > 2_000_000:
-                self.pairs.clear()
-            ok = self.pairs[a, b] = merge(left + right, self.ranks) == [left, right]
+        if len(self.pairs) > 2_000_000:
+            self.pairs.clear()
+        ok = self.pairs[a, b] = splits(self.bytes[a], self.bytes[b], self.ranks)
         return ok
 
-    def _path(self, lasts: tuple, end: int) -> list[int]:
+    @staticmethod
+    def _path(lasts: tuple, begins: tuple, end: int) -> list[int]:
         """Tokens of the pending prefix of ``end`` bytes."""
         out = []
         while end:
             out.append(lasts[end - 1])
-            end -= len(self.bytes[lasts[end - 1]])
+            end = begins[end - 1]
         return out[::-1]
 
     def _next(self, at: int, byte: int) -> tuple[int, tuple]:
-        before, pending, lasts = self.state[at]
-        pending += bytes((byte,))
+        before, pending, lasts, begins = self.state[at]
+        pending += self.single[byte]
         n = len(pending)
-        for k in range(max(0, n - self.longest), n):
-            t = self.tokens.get(pending[k:])
-            if t is not None and self._follows(lasts[k - 1] if k else before, t):
-                lasts += (t,)
+        reach = n - self.longest if n > self.longest else 0
+        tokens, pairs, prior = self.tokens, self.pairs, (before, *lasts)
+        rests = [pending[k:] for k in range(reach, n)]
+        for k, rest in enumerate(rests, reach):
+            t = tokens.get(rest)
+            if t is None:
+                continue
+            ok = pairs.get((prior[k], t))
+            if ok or (ok is None and self._follows(prior[k], t)):
                 break
         else:
             raise ValueError(f"no token ends with byte {byte}")
-        # Boundaries at which a token that is still unfinished may begin; the end is one.
-        alive = [k for k in range(max(0, n - self.longest), n) if pending[k:] in self.prefixes] + [n]
-        path = self._path(lasts, alive[-1])
-        for k in alive[:-1]:
-            other = self._path(lasts, k)
-            same = 0
-            while same < min(len(path), len(other)) and path[same] == other[same]:
-                same += 1
-            path = path[:same]
-            if not path:
-                break
-        done = sum(len(self.bytes[t]) for t in path)
-        return self._state(path[-1] if path else before, pending[done:], lasts[done:]), tuple(path)
+        lasts += (t,)
+        begins += (k,)
+        # The tokens begin at boundaries that form a tree.  A token that is still
+        # unfinished can only begin where the rest is the start of a longer token;
+        # all tokens before the place where the paths to those and to the end meet are certain.
+        meet, unfinished = n, self.unfinished
+        for k, rest in enumerate(rests, reach):
+            if rest in unfinished:
+                while meet != k:
+                    if meet > k:
+                        meet = begins[meet - 1]
+                    else:
+                        k = begins[k - 1]
+                if not meet:
+                    return self._state(before, pending, lasts, begins), ()
+        path = self._path(lasts, begins, meet)
+        begins = tuple([b - meet for b in begins[meet:]])
+        return self._state(path[-1], pending[meet:], lasts[meet:], begins), tuple(path)
 
     def encode(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
@@ -136,22 +168,20 @@ class Transducer:
         if len(self.state) > self.states:
             self._reset()
         out: list[int] = []
-        at = self.start
+        at, get = self.start, self.moves.get
         for byte in piece:
-            move = self.step[at].get(byte)
+            move = get(at << 8 | byte)
             if move is None:
-                move = self.step[at][byte] = self._next(at, byte)
+                if len(self.state) > 2 * self.states:  # a single huge piece: forget all but where we are
+                    here = self.state[at]
+                    self._reset()
+                    at, get = self._state(*here), self.moves.get
+                move = self.moves[at << 8 | byte] = self._next(at, byte)
             at, emitted = move
-            out += emitted
-            if len(self.state) > 2 * self.states:  # a single huge piece: forget all but where we are
-                here = self.state[at]
-                self._reset()
-                at = self._state(*here)
-        rest = self.flush[at]
-        if rest is None:
-            _, pending, lasts = self.state[at]
-            rest = self.flush[at] = self._path(lasts, len(pending))
-        return out + rest
+            if emitted:
+                out += emitted
+        _, pending, lasts, begins = self.state[at]
+        return out + self._path(lasts, begins, len(pending))
 
 
 class Utf8Stream:
@@ -258,7 +288,9 @@ class ByteBpe:
         regular = np.repeat(~whole, np.diff(rows))
         # A cut that is not the first of its text begins with the space.
         unit = (codes * 2 + first)[regular]
-        distinct, back = np.unique(unit, return_inverse=True)
+        present = np.zeros(2 * len(words), bool)
+        present[unit] = True
+        distinct, back = np.flatnonzero(present), (np.cumsum(present) - 1)[unit]
         names = [words[u >> 1] if u & 1 else " " + words[u >> 1] for u in distinct.tolist()]
         counts = np.where(whole, 0, np.diff(rows))
         ids, ends = self.pool.gather(self.pool.find(names)[back], np.concatenate([[0], np.cumsum(counts)]))
@@ -312,7 +344,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
         bpe = vocabulary(path, pattern)
         name = bpe.decimal.__getitem__
         for batch in batches:
-            for piece in C.slices(batch, text_col, 2_000_000):
+            for piece in C.slices(batch, text_col, 4_000_000):
                 ids, ends = bpe.encode_batch(piece.column(text_col))
                 texts = piece.column(text_col).to_pylist()
                 listed, sha_ids, sha_out, exact = ids.tolist(), [], [], []
