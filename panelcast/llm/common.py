@@ -12,6 +12,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,7 +68,7 @@ def text_bytes(df: DataFrame, text_col: str = "text") -> int:
 
 def slices(batch: pa.RecordBatch, text: str, limit: int = 6_000_000) -> Iterator[pa.RecordBatch]:
     """Cut a batch so that the texts of a piece have about ``limit`` bytes (one row at least)."""
-    ends = np.cumsum(pa.compute.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False))
+    ends = np.cumsum(pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False))
     at = 0
     while at < batch.num_rows:
         base = ends[at - 1] if at else 0
