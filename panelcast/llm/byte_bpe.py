@@ -319,19 +319,30 @@ def vocabulary(path: str, pattern: str) -> ByteBpe:
     return ByteBpe(read_ranks(path), pattern)
 
 
-def encode_documents(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, ids array<int>`` for every row."""
+def _streamed(bpe: ByteBpe, ids: list[int]) -> str:
+    return "".join(bpe.decode_stream(ids[k : k + 4096] for k in range(0, len(ids), 4096)))
+
+
+def encode_and_check(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id_col, n_tokens, ids array<int>, exact`` for every row; ``exact``: decoding the ids gives the text again."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path, pattern)
         for batch in batches:
-            for piece in C.slices(batch, text_col):
+            for piece in C.slices(batch, text_col, 4_000_000):
                 ids, ends = bpe.encode_batch(piece.column(text_col))
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([piece.column(id_col), lists], names=["id", "ids"])
+                exact = [
+                    _streamed(bpe, ids[a:b].tolist()) == (text or "")
+                    for a, b, text in zip(ends[:-1].tolist(), ends[1:].tolist(), piece.column(text_col).to_pylist())
+                ]
+                yield pa.RecordBatch.from_arrays(
+                    [piece.column(id_col), pa.array(np.diff(ends)), lists, pa.array(exact, pa.bool_())], names=["id", "n_tokens", "ids", "exact"]
+                )
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, text_col).mapInArrow(encode, f"id {kind}, ids array<int>").withColumnRenamed("id", id_col)
+    out = df.select(id_col, text_col).mapInArrow(encode, f"id {kind}, n_tokens long, ids array<int>, exact boolean")
+    return out.withColumnRenamed("id", id_col)
 
 
 def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -352,8 +363,7 @@ def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
                     own = listed[a:b]
                     sha_ids.append(hashlib.sha256(" ".join(map(name, own)).encode()).hexdigest())
                     sha_out.append(hashlib.sha256(bpe.decode_bytes(ids[a:b])).hexdigest())
-                    streamed = "".join(bpe.decode_stream(own[k : k + 4096] for k in range(0, len(own), 4096)))
-                    exact.append(streamed == (text or ""))
+                    exact.append(_streamed(bpe, own) == (text or ""))
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(id_col), pa.array(np.diff(ends), pa.int64()), pa.array(sha_ids, pa.string()), pa.array(sha_out, pa.string()), pa.array(exact, pa.bool_())],
                     names=["id", "n_tokens", "ids_sha256", "decoded_sha256", "exact"],

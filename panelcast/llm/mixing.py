@@ -242,6 +242,26 @@ def mix_sources(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     )
 
 
+def repeat_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The production mix as whole documents: every row as often as the mix takes it, rounded to whole copies.
+
+    Half a copy or more counts as one.  Rows without words serve no source and
+    stay as they are.  The columns are those of ``df``.
+    """
+    names = {c: f"c{k}" for k, c in enumerate(df.columns)}
+    own = df.select(*[F.col(f"`{c}`").alias(n) for c, n in names.items()])
+    sized = own.withColumns(
+        {
+            "key": F.col(names[id_col]).cast("string"),
+            "sources": F.array(F.col(names[source_col]).cast("string")),
+            "size": word_count(F.col(names[text_col])),
+        }
+    )
+    taken, _ = mix(sized, PRODUCTION)
+    copies = F.when(F.col("size") == 0, 1).otherwise(F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size")))).cast("int")
+    return taken.withColumn("copy", F.explode(F.array_repeat(F.lit(0), copies))).select(*[F.col(n).alias(c) for c, n in names.items()])
+
+
 _SQL = """
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,

@@ -60,12 +60,14 @@ class Items:
     within: bool
 
 
-def grouped(df: DataFrame, id_col: str, text_col: str, group_bytes: int = GROUP_BYTES) -> tuple[DataFrame, int]:
-    """``g, id, t`` with texts dealt to groups by a hash of id and text, and the number of groups."""
+def grouped(
+    df: DataFrame, id_col: str, text_col: str, group_bytes: int = GROUP_BYTES, more: tuple[str, ...] = ()
+) -> tuple[DataFrame, int]:
+    """``g, id, t`` and the columns ``more``, with texts dealt to groups by a hash of id and text; the number of groups."""
     n = max(1, -(-C.text_bytes(df, text_col) // group_bytes))
     text = F.coalesce(F.col(text_col), F.lit(""))
     g = F.pmod(F.xxhash64(F.col(id_col), text), F.lit(n)).cast("int")
-    return df.select(g.alias("g"), F.col(id_col).cast("long").alias("id"), text.alias("t")), n
+    return df.select(g.alias("g"), F.col(id_col).cast("long").alias("id"), text.alias("t"), *more), n
 
 
 def in_order(table: pa.Table) -> pa.Table:

@@ -68,10 +68,11 @@ def test_documents(spark):
         want.append((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest(), True))
     got = [tuple(r) for r in B.round_trip(df, PATH, P.PATTERN).collect()]
     assert sorted(got, key=str) == sorted(want, key=str)
-    ids = B.encode_documents(df, PATH, P.PATTERN).collect()
+    ids = B.encode_and_check(df, PATH, P.PATTERN).collect()
+    assert all(r.exact and r.n_tokens == len(r.ids) for r in ids)
     assert sorted((r.doc_id, len(r.ids)) for r in ids if r.doc_id is not None) == sorted(w[:2] for w in want if w[0] is not None)
 
 
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
-    assert B.round_trip(df, PATH, P.PATTERN).count() == 0 and B.encode_documents(df, PATH, P.PATTERN).count() == 0
+    assert B.round_trip(df, PATH, P.PATTERN).count() == 0 and B.encode_and_check(df, PATH, P.PATTERN).count() == 0
