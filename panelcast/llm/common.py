@@ -62,6 +62,17 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table made by ``stored`` that nothing reads any more."""
+    from pyarrow import fs
+
+    files = table.inputFiles()
+    if files:
+        where, path = fs.FileSystem.from_uri(files[0].rpartition("/")[0])
+        if "/llm-" in path:  # only what scratch_dir named
+            where.delete_dir(path)
+
+
 def text_bytes(df: DataFrame, text_col: str = "text") -> int:
     return df.agg(F.sum(F.octet_length(text_col))).head()[0] or 0
 
