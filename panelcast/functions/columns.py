@@ -31,15 +31,17 @@ def to_double(c: str | Column, source_type: str | None = None) -> Column:
     return null_if_nan(c)
 
 
-# Accepted textual date forms.
+# Accepted textual date forms, and the times that may follow a date.
 DATE_PATTERNS = ["yyyy-MM-dd", "yyyy/MM/dd", "yyyyMMdd"]
+TIME_PATTERNS = ["yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS][.SSS]", "yyyy/MM/dd HH:mm:ss"]
 
 
 def parse_date(c: str | Column, source_type: str | None = None) -> Column:
     """Date parse with coercion; unknown forms give NULL (the row is then dropped).
 
     DATE and TIMESTAMP inputs are cast; integers such as 20210104 are read as
-    text in the compact form, never as epoch offsets.
+    text in the compact form, never as epoch offsets.  Text must match a date,
+    or a date and a time, from its first to its last character.
     """
     c = col_(c)
     if source_type in ("date",):
@@ -47,9 +49,8 @@ def parse_date(c: str | Column, source_type: str | None = None) -> Column:
     if source_type in ("timestamp", "timestamp_ntz"):
         return c.cast("date")
     text = F.trim(c.cast("string"))
-    # A timestamp rendered as text keeps only its date part.
-    text = F.when(F.length(text) > 10, F.substring(text, 1, 10)).otherwise(text)
-    return F.coalesce(*[F.try_to_date(text, p) for p in DATE_PATTERNS])
+    dates = [F.try_to_date(text, p) for p in DATE_PATTERNS]
+    return F.coalesce(*dates, *[F.try_to_timestamp(text, F.lit(p)).cast("date") for p in TIME_PATTERNS])
 
 
 def ratio_gap(num: Column, den: Column) -> Column:

@@ -198,20 +198,25 @@ def roc_auc(
 def roc_curve(
     preds: DataFrame, by: list[str], prob_col: str = "up_prob", label_col: str = "y_true", parts: int | None = None
 ) -> DataFrame:
-    """One ROC point per distinct score: predicting 1 for ``prob >= score`` gives (fpr, tpr)."""
-    hist = score_histogram(preds, by, prob_col, label_col)
-    ranked = prefix_sums(hist, by, "score", ["pos", "neg"], parts)
-    totals = hist.groupBy(*by).agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    # The totals table has one row per group; AQE broadcasts it when small.
+    """One ROC point per distinct score: predicting 1 for ``prob >= score`` gives (fpr, tpr).
+
+    The point (0, 0), at which nothing is predicted 1, has an infinite threshold.
+    """
+    ranked = prefix_sums(score_histogram(preds, by, prob_col, label_col), by, "score", ["pos", "neg"], parts)
+    # One row per group; AQE broadcasts it when small.
+    y = F.col(label_col).cast("long")
+    totals = preds.groupBy(*by).agg(F.sum(y).alias("_p"), F.sum(F.lit(1) - y).alias("_n"))
     j = ranked.join(totals, on=by, how="inner")
-    tp = F.col("_p") - F.col("pos_before")
-    fp = F.col("_n") - F.col("neg_before")
-    return j.select(
+    share = lambda hits, of: F.when(F.col(of) > 0, hits / F.col(of))
+    points = j.select(
         *by,
         F.col("score").alias("threshold"),
-        F.when(F.col("_n") > 0, fp / F.col("_n")).alias("fpr"),
-        F.when(F.col("_p") > 0, tp / F.col("_p")).alias("tpr"),
+        share(F.col("_n") - F.col("neg_before"), "_n").alias("fpr"),
+        share(F.col("_p") - F.col("pos_before"), "_p").alias("tpr"),
     )
+    nothing = F.lit(0.0)
+    start = totals.select(*by, F.lit(float("inf")).alias("threshold"), share(nothing, "_n").alias("fpr"), share(nothing, "_p").alias("tpr"))
+    return points.unionByName(start)
 
 
 def with_confusion_matrix(counts: DataFrame) -> DataFrame:

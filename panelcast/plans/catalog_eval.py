@@ -20,7 +20,7 @@ from panelcast.operators.scaling import fit_scaler, scale_rows
 from panelcast.operators.scoring import FIXTURE_SCORERS
 from panelcast.plans import evaluation as E
 from panelcast.plans import oracle as O
-from panelcast.plans.registry import register, training_frame
+from panelcast.plans.registry import panel, register, training_frame
 from panelcast.schema import DATE, DEFAULT_FEATURES, SERIES
 from panelcast.session import materialize
 from panelcast.sources import bars as B
@@ -36,9 +36,9 @@ def cut_frame(spark, sf_dir, form="dataframe"):
     return E.eval_frame(training_frame(spark, sf_dir, form), SPEC)
 
 
-def rolling_preds(spark, sf_dir, form="dataframe"):
-    """Scores of every fold row (all splits), for the per-split metric queries."""
-    return materialize(E.rolling_predictions(cut_frame(spark, sf_dir, form), SPEC))
+def rolling_preds(spark, sf_dir, splits=None):
+    """Scores of the fold rows (of all splits or some), for the per-split metric queries that read them once."""
+    return E.rolling_predictions(cut_frame(spark, sf_dir), SPEC, splits=splits)
 
 
 def tuning(spark, sf_dir, form="dataframe"):
@@ -49,7 +49,7 @@ def tuning(spark, sf_dir, form="dataframe"):
 def tuned(spark, sf_dir):
     """Candidates, per-fold choice and fold results from the tuning inputs."""
     frame, preds = tuning(spark, sf_dir)
-    cands = E.config_candidates(preds, SPEC)
+    cands = materialize(E.config_candidates(preds, SPEC))
     choice = E.fold_choice(cands, SPEC)
     return frame, preds, cands, choice
 
@@ -213,14 +213,19 @@ def q_train_val_union(spark, sf_dir):
     return SP.train_and_val(tagged).groupBy("fold_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _report_sql() -> str:
-    n = "n_rows"
-    usable = f"CASE WHEN {n} > 20 THEN {n} - 19 ELSE 0 END"
+def _report_sql(ctes: list[str], seq_len: int = 20) -> str:
+    """The guards over a feature frame ``train_frame`` and its bars; constants are those of the default layout."""
+    least = seq_len + 30
+    n, usable = "n_rows", f"CASE WHEN n_rows > {seq_len} THEN n_rows - {seq_len - 1} ELSE 0 END"
     return _sql(
-        [O.bars_cte("main"), O.features_cte(ddof=1), O.training_cte()],
-        f"""SELECT series_id, n_rows, n_rows >= 50 AS enough_rows, usable_rows,
+        ctes,
+        f"""SELECT *, CASE WHEN NOT enough_rows THEN 'fewer than {least} rows'
+                WHEN NOT split_ok THEN 'an empty part in the time split'
+                WHEN NOT folds_ok THEN 'fewer than 2 folds' END AS reason
+FROM (
+SELECT series_id, n_rows, n_rows >= {least} AS enough_rows, usable_rows,
        usable_rows >= 3 AND least(greatest(te + CAST(trunc(usable_rows * 0.15::DOUBLE) AS INTEGER), te + 1), usable_rows - 1) > te AS split_ok,
-       n_folds, n_folds >= 2 AS folds_ok, greatest(n_rows - 19, 0) AS sequences
+       n_folds, n_folds >= 2 AS folds_ok, greatest({n} - {seq_len - 1}, 0) AS sequences
 FROM (
   SELECT *, greatest(CAST(trunc(usable_rows * 0.7::DOUBLE) AS INTEGER), 1) AS te,
          CASE WHEN remain >= 0 THEN CAST(floor(remain / step) AS INTEGER) + 1 ELSE 0 END AS n_folds
@@ -229,26 +234,47 @@ FROM (
       SELECT *, usable_rows - (greatest(least(greatest(CAST(trunc(usable_rows * 0.7::DOUBLE) AS INTEGER), 120),
                                               usable_rows - 2 * vl - 40), 120) + 2 * vl) AS remain
       FROM (
-        SELECT series_id, CAST(count(*) AS INTEGER) AS n_rows, CAST({usable.replace(n, "count(*)")} AS INTEGER) AS usable_rows,
-               greatest(CAST(trunc(({usable.replace(n, "count(*)")}) * 0.15::DOUBLE) AS INTEGER), 40) AS vl
-        FROM train_frame GROUP BY series_id
+        SELECT *, greatest(CAST(trunc(usable_rows * 0.15::DOUBLE) AS INTEGER), 40) AS vl
+        FROM (
+          SELECT *, CAST({usable} AS INTEGER) AS usable_rows
+          FROM (
+            SELECT b.series_id, CAST(count(t.bar_date) AS INTEGER) AS n_rows
+            FROM bars b LEFT JOIN train_frame t ON t.series_id = b.series_id AND t.bar_date = b.bar_date
+            GROUP BY b.series_id
+          )
+        )
       )
     )
   )
-)""",
+))""",
     )
 
 
-@register("series_report", _report_sql())
+_UNFILTERED = [O.bars_cte("main"), O.features_cte(ddof=1), O.training_cte(min_rows=0)]
+_PARTS = [O.bars_cte("main").replace("l_suppkey", "l_partkey"), *_UNFILTERED[1:]]
+
+
+@register("series_report", _report_sql(_UNFILTERED))
 def q_series_report(spark, sf_dir):
-    return SP.series_report(training_frame(spark, sf_dir))
+    """Every series of the panel against the guards, on the frame before any series is dropped."""
+    bars = panel(spark, sf_dir)
+    return SP.series_report(feat.finalize(feat.build_features(bars)), series=bars)
+
+
+@register("short_series", _report_sql(_PARTS, seq_len=5) + " WHERE reason IS NOT NULL")
+def q_short_series(spark, sf_dir):
+    """Parts as series: most have too few days, and each of those is listed with the reason."""
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    bars = B.daily_bars(lineitem, "l_partkey", "l_shipdate", "l_extendedprice", F.col("l_quantity"), ["l_orderkey", "l_linenumber"])
+    report = SP.series_report(feat.finalize(feat.build_features(bars)), seq_len=5, series=bars)
+    return report.where(F.col("reason").isNotNull())
 
 
 # --------------------------------------------------------------- sequences
 
 
 def _small_scaled(spark, sf_dir):
-    training = feat.finalize(feat.build_features(B.load_panel(spark, sf_dir, "small")))
+    training = SP.long_enough(feat.finalize(feat.build_features(B.load_panel(spark, sf_dir, "small"))))
     tagged = SP.split_by_time(SP.with_positions(training))
     return scale_rows(tagged, FEATS, "series", by=[])
 
@@ -354,11 +380,14 @@ FROM (
   FROM (SELECT fold_id, config_idx, up_prob AS score, sum(y_true) AS pos, sum(1 - y_true) AS neg
         FROM preds WHERE split = 'test' GROUP BY fold_id, config_idx, up_prob)
   WINDOW w AS (PARTITION BY fold_id, config_idx ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-)""",
+)
+UNION ALL
+SELECT fold_id, config_idx, 'Infinity'::DOUBLE, CASE WHEN sum(1 - y_true) > 0 THEN 0.0::DOUBLE END, CASE WHEN sum(y_true) > 0 THEN 0.0::DOUBLE END
+FROM preds WHERE split = 'test' GROUP BY fold_id, config_idx""",
     ),
 )
 def q_roc_curve(spark, sf_dir):
-    test = rolling_preds(spark, sf_dir).where(F.col("split") == "test")
+    test = rolling_preds(spark, sf_dir, splits=("test",))
     return M.roc_curve(test, ["fold_id", "config_idx"])
 
 
@@ -394,7 +423,7 @@ def q_log_loss(spark, sf_dir):
     _sql(_SWEEP, "SELECT fold_id, config_idx, k, threshold_raw, threshold, tp, fp, fn, tn, precision, recall, f1, fbeta, score FROM sweep"),
 )
 def q_threshold_sweep(spark, sf_dir):
-    val = rolling_preds(spark, sf_dir).where(F.col("split") == "val")
+    val = rolling_preds(spark, sf_dir, splits=("val",))
     return T.threshold_sweep(val, ["fold_id", "config_idx"], TUNE)
 
 

@@ -69,7 +69,7 @@ _FINAL = _FOLD_RES + _STAB[len(_CANDS):] + [
            {O._ratio("tp", "tp + fp")} AS precision,
            {O._ratio("tp", "tp + fn")} AS recall,
            {O._fbeta(1.0, pos="tp + fn")} AS f1,
-           {O._fbeta(1.0, pos="tp + fn")} AS fbeta,
+           {O._fbeta(0.5, pos="tp + fn")} AS fbeta,
            (SELECT roc_auc FROM ffauc) AS roc_auc,
            brier_score, sample_count, threshold
     FROM (
@@ -96,7 +96,7 @@ def q_final_threshold_choice(spark, sf_dir):
 
 @register("final_metrics", _sql(_FINAL, "SELECT * FROM fmetrics"))
 def q_final_metrics(spark, sf_dir):
-    return E.final_metrics(final_run(spark, sf_dir)[3])
+    return E.final_metrics(final_run(spark, sf_dir)[3], BETA)
 
 
 @register(
@@ -225,6 +225,7 @@ def q_feature_consistency_training(spark, sf_dir):
 
 # ------------------------------------------------------------- run compare
 
+# Names of the compared run metrics.
 RUN_METRICS = [
     "final_f1", "final_precision", "final_recall", "final_accuracy", "final_roc_auc", "final_threshold",
     "false_positive_count", "false_negative_count", "near_threshold_error_rate",
@@ -235,7 +236,7 @@ RUN_METRICS = [
 def run_summary(spark, sf_dir, form):
     """One row: the headline numbers of a whole evaluation run."""
     run, _, _, test = final_run(spark, sf_dir, form)
-    fm = E.final_metrics(test).select(
+    fm = E.final_metrics(test, BETA).select(
         F.col("f1").alias("final_f1"), F.col("precision").alias("final_precision"),
         F.col("recall").alias("final_recall"), F.col("accuracy").alias("final_accuracy"),
         F.col("roc_auc").alias("final_roc_auc"), F.col("threshold").alias("final_threshold"),

@@ -44,15 +44,16 @@ def raw_text_bars(spark, sf_dir):
 
 _CLEAN_SQL = O.with_(O.bars_cte("main")) + """SELECT CAST(series_id AS VARCHAR) AS series_id, bar_date, open, high, low, close, vol, pct_chg FROM bars
 UNION ALL
-SELECT 'junk', CAST(ts AS DATE), NULL::DOUBLE, value, value, value, value, value FROM events
+SELECT 'junk', CAST(ts AS DATE), NULL::DOUBLE, max(value), max(value), max(value), max(value), max(value) FROM events
 WHERE ts IS NOT NULL AND TRY_CAST(event_type AS DATE) IS NULL AND TRY_STRPTIME(event_type, '%Y%m%d') IS NULL
   AND TRY_STRPTIME(event_type, '%Y/%m/%d') IS NULL
+GROUP BY CAST(ts AS DATE)
 """
 
 
 @register("clean_bars", _CLEAN_SQL)
 def q_clean_bars(spark, sf_dir):
-    return B.clean_bars(raw_text_bars(spark, sf_dir))
+    return B.clean_bars(raw_text_bars(spark, sf_dir), on_duplicate="largest")
 
 
 def _scratch(spark, name: str, sf_dir: str) -> str:
@@ -68,7 +69,7 @@ def q_read_csv_snapshot(spark, sf_dir):
     raw = B.read_bars_csv(spark, path)
     B.require_columns(raw, ["bar_date", "open", "high", "low", "close", "vol", "pct_chg"])
     B.require_nonempty(raw)
-    return B.clean_bars(raw)
+    return B.clean_bars(raw, on_duplicate="largest")
 
 
 @register(
@@ -95,15 +96,21 @@ def q_scaler_roundtrip(spark, sf_dir):
     return apply_scaler(folded, scaler, FEATS, [SERIES, "fold_id"]).select(SERIES, "fold_id", "split", DATE, *FEATS)
 
 
-@register("table_digest", None)
+@register(
+    "table_digest",
+    O.with_(O.bars_cte("main"))
+    + """SELECT count(*) AS rows, CAST(sum(CAST('0x' || md5(concat_ws('|', CAST(series_id AS VARCHAR), CAST(bar_date AS VARCHAR),
+    CAST(CAST(round(high * 10000) AS BIGINT) AS VARCHAR), CAST(CAST(round(vol * 10000) AS BIGINT) AS VARCHAR)))[1:8] AS BIGINT)) AS BIGINT) AS digest
+FROM bars""",
+)
 def q_table_digest(spark, sf_dir):
-    """Order-free fingerprint of the bar panel (row count, XOR and sum of row hashes)."""
-    return ST.table_fingerprint(panel(spark, sf_dir))
+    """Order-free fingerprint of the bar panel over its exact columns."""
+    return ST.table_fingerprint(panel(spark, sf_dir), ["series_id", "bar_date", "high", "vol"])
 
 
 @register("file_digest", None)
 def q_file_digest(spark, sf_dir):
-    """SHA-256 of every file of the raw CSV snapshot."""
+    """Line fingerprint of every file of the raw CSV snapshot."""
     path = _scratch(spark, "raw_csv_digest", sf_dir)
     ST.write_table(raw_text_bars(spark, sf_dir), path, fmt="csv")
     return ST.file_digests(spark, path)
@@ -111,10 +118,12 @@ def q_file_digest(spark, sf_dir):
 
 @register(
     "duplicate_bars",
-    O.with_(O.bars_cte("main")) + "SELECT series_id, bar_date, count(*) AS copies FROM bars GROUP BY ALL HAVING count(*) > 1",
+    "SELECT 'junk' AS series_id, CAST(ts AS DATE) AS bar_date, count(*) AS copies FROM events WHERE ts IS NOT NULL "
+    "GROUP BY 2 HAVING count(*) > 1",
 )
 def q_duplicate_bars(spark, sf_dir):
-    return B.duplicate_bars(panel(spark, sf_dir))
+    """Days with several raw bars: the rows that ``clean_bars`` refuses or reduces."""
+    return B.duplicate_bars(B.typed_bars(raw_text_bars(spark, sf_dir)))
 
 
 @register("features_bucketed", O.with_(O.bars_cte("main"), O.features_cte(ddof=1)) + "SELECT * FROM feat")

@@ -25,7 +25,7 @@ from panelcast.operators import thresholds as T
 from panelcast.operators.errors import error_cases, error_summary
 from panelcast.operators.scaling import scale_rows
 from panelcast.operators.scoring import FIXTURE_SCORERS, LinearScorer, predict_class, score_chosen, score_rows
-from panelcast.operators.splits import FOLD, SPLIT, FoldSpec, fold_membership, split_by_time, warmup_cut
+from panelcast.operators.splits import FOLD, SPLIT, FoldSpec, fold_membership, require_folds, split_by_time, warmup_cut
 from panelcast.schema import DATE, DEFAULT_FEATURES, SEQUENCE_LENGTH, SERIES
 from panelcast.session import materialize
 
@@ -131,7 +131,8 @@ def final_predictions(
     chosen = best_cfg.select("config_idx").scalar()
     # No config above -1 leaves the subquery empty: fail with the cause, lazily.
     choice = F.when(chosen.isNull(), F.raise_error(F.lit("config choice: no candidate (every score is at or below -1)"))).otherwise(chosen)
-    return materialize(score_chosen(scaled, spec.features, scorers or FIXTURE_SCORERS, choice, keep=[SERIES, SPLIT, DATE]))
+    scored = score_chosen(scaled, spec.features, scorers or FIXTURE_SCORERS, choice, keep=[SERIES, SPLIT, DATE])
+    return materialize(scored, partition_by=[SPLIT])
 
 
 def final_threshold_row(final_preds: DataFrame, fold_res: DataFrame, spec: EvalSpec = EvalSpec()) -> DataFrame:
@@ -150,7 +151,8 @@ def final_threshold_row(final_preds: DataFrame, fold_res: DataFrame, spec: EvalS
     else:
         thr = snap_to_grid(F.col("rolling_threshold_median"), g.lo, g.hi, g.step)
         source = "rolling_median"
-    return row.withColumns({"threshold": thr, "threshold_source": F.lit(source)})
+    # One row, read by every consumer of the final run: stored, not planned again in each.
+    return materialize(row.withColumns({"threshold": thr, "threshold_source": F.lit(source)}))
 
 
 def final_test_predictions(final_preds: DataFrame, thr_row: DataFrame) -> DataFrame:
@@ -159,8 +161,9 @@ def final_test_predictions(final_preds: DataFrame, thr_row: DataFrame) -> DataFr
     return test.withColumn("y_pred", predict_class(F.col("up_prob"), F.col("threshold")))
 
 
-def final_metrics(test_preds: DataFrame) -> DataFrame:
-    rates = M.classification_metrics(test_preds, [], "threshold")
+def final_metrics(test_preds: DataFrame, beta: float) -> DataFrame:
+    """Test metrics at the final threshold; ``fbeta`` is that of the tuning goal."""
+    rates = M.classification_metrics(test_preds, [], "threshold", beta=beta)
     auc = M.roc_auc(test_preds.withColumn("_g", F.lit(0)), ["_g"]).drop("_g", "positives", "negatives")
     brier = M.brier(test_preds.withColumn("_g", F.lit(0)), ["_g"]).drop("_g")
     thr = test_preds.agg(F.max("threshold").alias("threshold"))
@@ -189,8 +192,8 @@ def tuning_inputs(
     only validation and test rows are scored, since tuning reads nothing else.
     """
     frame = materialize(eval_frame(training, spec), bucket_by=[SERIES])
-    preds = materialize(rolling_predictions(frame, spec, scorers, splits=("val", "test")))
-    return frame, preds
+    preds = materialize(rolling_predictions(frame, spec, scorers, splits=("val", "test")), partition_by=[SPLIT])
+    return frame, require_folds(preds)
 
 
 @dataclass

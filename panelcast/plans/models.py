@@ -32,7 +32,7 @@ from panelcast.operators.consistency import combine_rows, fold_stability
 from panelcast.operators.errors import error_cases, error_summary
 from panelcast.operators.scaling import fit_scaler, scale_rows
 from panelcast.operators.scoring import predict_class
-from panelcast.operators.splits import FOLD, SPLIT, split_by_time
+from panelcast.operators.splits import FOLD, SPLIT, require_folds, split_by_time
 from panelcast.plans import evaluation as E
 from panelcast.schema import DATE, LABEL, SERIES
 from panelcast.session import materialize
@@ -46,7 +46,8 @@ class MlpConfig:
 
     @property
     def key(self) -> str:
-        return f"{list(self.hidden)}-{self.alpha}"
+        """Names the configuration in result rows: hidden sizes and penalty."""
+        return "-".join(["x".join(map(str, self.hidden)), format(self.alpha, "g")])
 
 
 # The reference's per-fold configuration grid (hidden sizes, alpha).
@@ -58,9 +59,17 @@ MLP_GRID = [
 ]
 
 
+CALIBRATIONS = ("none", "sigmoid", "isotonic")
+#: Isotonic calibration works on a weighted histogram of scores with this many steps.
+CALIBRATION_STEPS = 10_000
+
+
 @dataclass(frozen=True)
 class FitOptions:
+    """A fit ends when the loss moves by less than ``tol`` (relative), or after ``max_iter`` iterations."""
+
     max_iter: int = 900
+    tol: float = 1e-4
     seed: int = 42
     calibration: str = "none"
     calib_cv: int = 3
@@ -70,12 +79,18 @@ class FitOptions:
     parallelism: int = 4
 
     def __post_init__(self) -> None:
-        if self.max_iter <= 0:
-            raise ValueError("max_iter must be > 0")
-        if self.calibration not in ("none", "sigmoid", "isotonic"):
-            raise ValueError("calibration must be none, sigmoid or isotonic")
-        if self.calibration != "none" and self.calib_cv < 2:
-            raise ValueError("calib_cv must be >= 2 when calibration is enabled")
+        wrong = [
+            what
+            for bad, what in (
+                (self.max_iter < 1, "at least one iteration"),
+                (self.tol < 0, "a tolerance of 0 or more"),
+                (self.calibration not in CALIBRATIONS, f"calibration as one of {', '.join(CALIBRATIONS)}"),
+                (self.calibration != CALIBRATIONS[0] and self.calib_cv < 2, "two or more calibration folds"),
+            )
+            if bad
+        ]
+        if wrong:
+            raise ValueError(f"the fit needs {'; '.join(wrong)}")
 
 
 def _assembler(features: list[str]) -> VectorAssembler:
@@ -90,6 +105,7 @@ def fit_mlp(rows: DataFrame, features: list[str], cfg: MlpConfig, opts: FitOptio
     mlp = MultilayerPerceptronClassifier(
         layers=[len(features), *cfg.hidden, 2],
         maxIter=opts.max_iter,
+        tol=opts.tol,
         seed=opts.seed,
         blockSize=opts.block_size,
         featuresCol="features",
@@ -99,7 +115,7 @@ def fit_mlp(rows: DataFrame, features: list[str], cfg: MlpConfig, opts: FitOptio
 
 
 def fit_logreg(rows: DataFrame, features: list[str], opts: FitOptions, label_col: str = LABEL, reg: float = 0.0) -> PipelineModel:
-    lr = LogisticRegression(maxIter=max(opts.max_iter, 10), regParam=reg, featuresCol="features", labelCol="label")
+    lr = LogisticRegression(maxIter=opts.max_iter, tol=opts.tol, regParam=reg, featuresCol="features", labelCol="label")
     return Pipeline(stages=[_assembler(features), lr]).fit(_labelled(rows, label_col))
 
 
@@ -144,12 +160,24 @@ def _apply_calibrator(cal, rows: DataFrame, method: str) -> DataFrame:
     return out.withColumn("_cal", F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(1.0))).drop("prediction")
 
 
+def stratified_folds(rows: DataFrame, k: int, label_col: str = LABEL) -> DataFrame:
+    """``rows`` with ``_cv``: blocks 0..k-1 of equal size within each class, in order of date and series."""
+    place = F.struct(DATE, SERIES)
+    ranked = M.prefix_sums(
+        rows.select(SERIES, DATE, label_col, place.alias("_place"), F.lit(1).alias("_one")), [label_col], "_place", ["_one"]
+    )
+    sizes = rows.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n"))
+    block = F.floor(F.col("_one_before") * F.lit(k) / F.col("_n")).cast("int")
+    return rows.join(ranked.join(sizes, label_col).select(SERIES, DATE, block.alias("_cv")), [SERIES, DATE])
+
+
 def fit_calibrated(rows: DataFrame, features: list[str], cfg: MlpConfig, opts: FitOptions, label_col: str = LABEL) -> CalibratedModel:
     """Cross-fitted calibration: fold i's calibrator is fitted on base model i's
-    scores of fold i, base model i on the other folds.  Fold membership is a
-    hash of the row key within each class (stratified, no window, no shuffle)."""
+    scores of fold i, base model i on the other folds.  Folds are stratified by
+    class.  Isotonic points are pooled on the driver by Spark's own learner, so
+    their number is bounded: scores are rounded to ``CALIBRATION_STEPS`` steps."""
     k = opts.calib_cv
-    tagged = rows.withColumn("_cv", F.pmod(F.xxhash64(SERIES, DATE, F.col(label_col)), F.lit(k)))
+    tagged = materialize(stratified_folds(rows, k, label_col), partition_by=["_cv"])
     pairs = []
     for i in range(k):
         base = fit_mlp(tagged.where(F.col("_cv") != i), features, cfg, opts, label_col)
@@ -160,7 +188,9 @@ def fit_calibrated(rows: DataFrame, features: list[str], cfg: MlpConfig, opts: F
                 VectorAssembler(inputCols=["_raw"], outputCol="_cf").transform(held)
             )
         else:
-            cal = IsotonicRegression(featuresCol="_raw", labelCol="label", isotonic=True).fit(held)
+            steps = held.groupBy((F.round(F.col("_raw") * CALIBRATION_STEPS) / CALIBRATION_STEPS).alias("_raw"))
+            points = steps.agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("_w"))
+            cal = IsotonicRegression(featuresCol="_raw", labelCol="label", weightCol="_w", isotonic=True).fit(points)
         pairs.append((base, cal))
     return CalibratedModel(pairs, opts.calibration)
 
@@ -208,12 +238,9 @@ def rolling_mlp(
     """Per fold: fit each config on train, tune its threshold on validation,
     choose a config (stable pick), refit it on train+val (same scaler),
     score test at the validation threshold."""
-    # A plain checkpoint here (not the bucketed table of the fixture path): the
-    # shuffle before fold scaling lets AQE size the partitions that every
-    # L-BFGS iteration of every fit then scans, which outweighs one saved
-    # shuffle of the frame.
     frame = materialize(E.eval_frame(training, spec))
-    scaled = materialize(E.rolling_scaled(frame, spec))
+    # Folders by fold and split: each fit scans only its own part.
+    scaled = require_folds(materialize(E.rolling_scaled(frame, spec), partition_by=[FOLD, SPLIT]))
     feats = spec.features
     keys = [SERIES, FOLD, SPLIT, DATE]
     folds = [r[FOLD] for r in scaled.select(FOLD).distinct().orderBy(FOLD).collect()]  # fold ids only
@@ -240,9 +267,25 @@ def rolling_mlp(
     test_parts = _run_parallel(refit_and_test, sorted(chosen.items()), opts.parallelism)
     test_preds = materialize(reduce(DataFrame.unionByName, test_parts))
     fold_rows = E.fold_results(test_preds, choice, spec, sizes_from=scaled)
-    names = F.create_map(*[x for c in grid for x in (F.lit(c.config_idx), F.lit(c.key))])
-    cand_rows = cands.withColumn("config_key", names[F.col("config_idx")])
-    return MlpRun(cand_rows, fold_rows.withColumn("config_key", names[F.col("config_idx")]), test_preds)
+    return MlpRun(with_settings(cands, grid, spec, opts), with_settings(fold_rows, grid, spec, opts), test_preds)
+
+
+def with_settings(rows: DataFrame, grid: list[MlpConfig], spec: E.EvalSpec, opts: FitOptions) -> DataFrame:
+    """Rows with a ``config_idx`` plus what that configuration is and how its threshold is tuned."""
+    of = lambda value: F.create_map(*[x for c in grid for x in (F.lit(c.config_idx), value(c))])[F.col("config_idx")]
+    tune = spec.tune
+    return rows.withColumns(
+        {
+            "config_key": of(lambda c: F.lit(c.key)),
+            "hidden": of(lambda c: F.array(*[F.lit(h) for h in c.hidden])),
+            "alpha": of(lambda c: F.lit(c.alpha)),
+            "calibration": F.lit(opts.calibration),
+            "threshold_goal": F.lit(tune.goal),
+            "threshold_anchor": F.lit(tune.anchor),
+            "threshold_eps": F.lit(tune.thr_eps),
+            "config_eps": F.lit(tune.cfg_eps),
+        }
+    )
 
 
 @dataclass
@@ -265,18 +308,18 @@ def final_mlp(
     evaluate test at the final threshold."""
     frame = E.eval_frame(training, spec)
     tagged = split_by_time(frame, spec.folds.train_ratio, spec.folds.val_ratio, spec.folds.test_ratio)
-    scaled = materialize(scale_rows(tagged, spec.features, spec.scaler_scope, by=[]))
+    scaled = materialize(scale_rows(tagged, spec.features, spec.scaler_scope, by=[]), partition_by=[SPLIT])
     keys = [SERIES, SPLIT, DATE]
     base = fit_prob_model(scaled.where(F.col(SPLIT) == "train"), spec.features, best, opts)
     val_preds = _as_preds(base(scaled.where(F.col(SPLIT) == "val")), best, keys)
     refit = fit_prob_model(scaled.where(F.col(SPLIT).isin("train", "val")), spec.features, best, opts)
     test_preds = _as_preds(refit(scaled.where(F.col(SPLIT) == "test")), best, keys)
-    preds = materialize(val_preds.unionByName(test_preds))
+    preds = materialize(val_preds.unionByName(test_preds), partition_by=[SPLIT])
     thr = E.final_threshold_row(preds, rolling_folds, spec)
     test = E.final_test_predictions(preds, thr)
     cases = error_cases(test, "threshold")
     summary = error_summary(cases, [], threshold_col="threshold")
-    return FinalRun(E.final_metrics(test), test, cases, summary, thr)
+    return FinalRun(E.final_metrics(test, spec.tune.effective_beta), test, cases, summary, thr)
 
 
 def evaluation_summary(run: MlpRun, final: FinalRun, best: MlpConfig, rows: DataFrame) -> DataFrame:
@@ -308,7 +351,7 @@ def logreg_baseline(training: DataFrame, spec: E.EvalSpec = E.EvalSpec(), opts:
     """Logistic regression on the time split: test metrics at a fixed threshold."""
     frame = E.eval_frame(training, spec)
     tagged = split_by_time(frame, spec.folds.train_ratio, spec.folds.val_ratio, spec.folds.test_ratio)
-    scaled = materialize(scale_rows(tagged, spec.features, spec.scaler_scope, by=[]))
+    scaled = materialize(scale_rows(tagged, spec.features, spec.scaler_scope, by=[]), partition_by=[SPLIT])
     model = fit_logreg(scaled.where(F.col(SPLIT) == "train"), spec.features, opts)
     test = model_prob(model, scaled.where(F.col(SPLIT) == "test")).withColumn("y_true", F.col(LABEL).cast("int"))
     test = materialize(test.select(SERIES, DATE, "y_true", "up_prob"))
@@ -331,15 +374,17 @@ def load_model(spark, path: str) -> tuple[PipelineModel, DataFrame]:
 
 
 def predict_latest(
-    frame: DataFrame, scaler: DataFrame, model: PipelineModel, features: list[str], threshold: float
+    frame: DataFrame, scaler: DataFrame, model: PipelineModel, features: list[str], threshold: float, min_rows: int = 1
 ) -> DataFrame:
-    """Score the newest bar of every series: date, probability, class, threshold."""
+    """Score the newest bar of every series with ``min_rows`` rows or more: date, probability, class, threshold."""
     from pyspark.sql import Window
 
     from panelcast.operators.scaling import apply_scaler
 
     w = Window.partitionBy(SERIES).orderBy(F.col(DATE).desc())
-    latest = frame.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    rows = F.count(F.lit(1)).over(Window.partitionBy(SERIES))
+    latest = frame.withColumns({"_rn": F.row_number().over(w), "_rows": rows})
+    latest = latest.where((F.col("_rn") == 1) & (F.col("_rows") >= min_rows)).drop("_rn", "_rows")
     scaled = apply_scaler(latest, scaler, features, [SERIES])
     scored = model_prob(model, scaled)
     return scored.select(
@@ -390,25 +435,25 @@ def train_sequence_model(
     from panelcast.operators.splits import split_sizes
 
     tagged = split_by_time(training, spec.folds.train_ratio, spec.folds.val_ratio, spec.folds.test_ratio)
-    scaled = scale_rows(tagged, spec.features, spec.scaler_scope, by=[])
+    # The scaled rows are stored, not the windows: those hold every row ``seq_len`` times.
+    scaled = materialize(scale_rows(tagged, spec.features, spec.scaler_scope, by=[]), partition_by=[SPLIT])
     seqs = build_sequences(scaled, spec.features, spec.seq_len, within=[SPLIT])
-    flat = materialize(
-        seqs.select(
-            SERIES, SPLIT, F.col("end_date").alias(DATE),
-            array_to_vector(F.flatten("x")).alias("features"), F.col("y").cast("double").alias("label"),
-        )
+    flat = seqs.select(
+        SERIES, SPLIT, F.col("end_date").alias(DATE),
+        array_to_vector(F.flatten("x")).alias("features"), F.col("y").cast("double").alias("label"),
     )
     width = spec.seq_len * len(spec.features)
     mlp = MultilayerPerceptronClassifier(
-        layers=[width, *hidden, 2], maxIter=opts.max_iter, seed=opts.seed, blockSize=opts.block_size
+        layers=[width, *hidden, 2], maxIter=opts.max_iter, tol=opts.tol, seed=opts.seed, blockSize=opts.block_size
     )
     model = mlp.fit(flat.where(F.col(SPLIT) == "train"))
     scored = model.transform(flat.where(F.col(SPLIT).isin("val", "test"))).select(
         SERIES, SPLIT, DATE, F.col("label").cast("int").alias("y_true"),
         vector_to_array(F.col("probability"))[1].alias("up_prob"),
+        # The outputs before the softmax: no probability has to be inverted for the loss.
+        (vector_to_array(F.col("rawPrediction"))[1] - vector_to_array(F.col("rawPrediction"))[0]).alias("logit"),
     )
-    p = F.least(F.greatest(F.col("up_prob"), F.lit(1e-15)), F.lit(1.0 - 1e-15))
-    scored = materialize(scored.withColumn("logit", F.log(p / (F.lit(1.0) - p))))
+    scored = materialize(scored, partition_by=[SPLIT])
     val_loss = M.log_loss(scored.where(F.col(SPLIT) == "val").withColumn("_g", F.lit(0)), ["_g"]).select(
         F.col("log_loss").alias("val_loss")
     )

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from panelcast.operators import features as feat
+from panelcast.operators.splits import long_enough
 from panelcast.sources import bars as B
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -30,4 +31,5 @@ def main_features(spark: SparkSession, sf_dir: str, form: str = "dataframe") ->
 
 
 def training_frame(spark: SparkSession, sf_dir: str, form: str = "dataframe") -> DataFrame:
-    return feat.finalize(main_features(spark, sf_dir, form))
+    """Rows of all series that are long enough; the query ``short_series`` lists the others."""
+    return long_enough(feat.finalize(main_features(spark, sf_dir, form)))

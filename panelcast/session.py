@@ -36,6 +36,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(key, value)
     builder = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="panelcast-warehouse-"))
         .config("spark.driver.memory", os.environ.get("PANELCAST_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
@@ -72,27 +73,38 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
-def materialize(df, bucket_by: list[str] | None = None, buckets: int | None = None):
-    """Write ``df`` once to the checkpoint folder and read it back (lineage cut).
+_TEMPORARY = "panelcast_tmp_"
+
+
+def materialize(df, bucket_by: list[str] | None = None, buckets: int | None = None, partition_by: list[str] | None = None):
+    """Write ``df`` once as a Parquet table in the shared warehouse and read it back (lineage cut).
 
     Used for intermediates that several branches of one query read (the
     prediction table feeds the sweep, the fold metrics, AUC and the final
-    split): computing them once instead of once per branch, and from storage
-    that survives the loss of an executor.
+    split): computing them once instead of once per branch, from storage that
+    survives the loss of an executor.  Readers scan only the columns they need,
+    and with ``partition_by`` only the folders that their filter allows.
 
-    With ``bucket_by`` the data is written as a table bucketed on those
-    columns instead of an RDD checkpoint, so later windows and aggregations on
-    them still plan without an Exchange (a checkpoint forgets the
-    partitioning).
+    With ``bucket_by`` the table carries that hash partitioning, so later
+    windows and aggregations on those columns plan without an Exchange.
+    ``release`` drops these tables when their results have been read.
     """
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    if not bucket_by:
-        return df.checkpoint(eager=True)
     import uuid
 
-    name = "panelcast_tmp_" + uuid.uuid4().hex
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = root.rstrip("/") + "/tables/" + name
-    df.write.format("parquet").bucketBy(n, *bucket_by).option("path", path).saveAsTable(name)
-    return spark.table(name)
+    spark = df.sparkSession
+    name = _TEMPORARY + uuid.uuid4().hex
+    writer = df.write.format("parquet")
+    if bucket_by:
+        writer = writer.bucketBy(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), *bucket_by)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(name)
+    return spark.table(name).select(*df.columns)
+
+
+def release(spark) -> int:
+    """Drop all materialised intermediates (tables and files); how many there were."""
+    names = [t.name for t in spark.catalog.listTables() if t.name.startswith(_TEMPORARY)]
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return len(names)

@@ -8,15 +8,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+def stored_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, None if there is none."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as missing:
+        if missing.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
@@ -49,29 +53,38 @@ def read_or_build(
 ) -> DataFrame:
     """Read a stored table when it exists and carries every required column;
     otherwise build it, write it, and read the written copy back."""
-    if not refresh and path_exists(spark, path):
-        stored = spark.read.parquet(path)
-        if set(required) <= set(stored.columns):
-            return stored
+    stored = None if refresh else stored_table(spark, path)
+    if stored is not None and set(required) <= set(stored.columns):
+        return stored
     write_table(build(), path)
     return spark.read.parquet(path)
 
 
 def table_fingerprint(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Order-free content fingerprint: row count and XOR of per-row 64-bit hashes.
+    """Order-free content fingerprint that any engine can compute: rows, and the sum of 32 bits of each row's MD5.
 
-    One grouped pass with map-side combine; equal tables give equal rows
-    whatever their partitioning or order.
+    A row is its columns as text, joined by ``|``, NULL as ``~``; floating-point
+    columns count in whole ten-thousandths.  One pass with map-side combine;
+    equal tables give equal rows whatever their partitioning or order.
     """
-    cols = columns or df.columns
-    h = F.xxhash64(*[F.col(c) for c in cols])
-    return df.agg(F.count(F.lit(1)).alias("rows"), F.bit_xor(h).alias("xor_hash"), F.sum(h.cast("decimal(38,0)")).alias("sum_hash"))
+    kinds = dict(df.dtypes)
+
+    def text(c: str):
+        x = F.col(f"`{c}`")
+        if kinds[c] in ("double", "float"):
+            x = F.round(x * 10_000).cast("decimal(38,0)")
+        return F.coalesce(x.cast("string"), F.lit("~"))
+
+    row = F.md5(F.concat_ws("|", *[text(c) for c in columns or df.columns]))
+    return df.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.conv(F.substring(row, 1, 8), 16, 10).cast("long")).alias("digest"))
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 of every file under ``path`` (one row per file), computed on executors."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.select("path", "length", F.sha2(F.col("content"), 256).alias("sha256"))
+    """Fingerprint of the lines of every text file under ``path``, one row per file; files of any size split over tasks."""
+    lines = spark.read.text(path).select(F.input_file_name().alias("path"), F.md5("value").alias("h"))
+    return lines.groupBy("path").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum(F.conv(F.substring("h", 1, 8), 16, 10).cast("long")).alias("digest")
+    )
 
 
 def check_fingerprint(actual: DataFrame, expected: dict | None) -> None:

@@ -99,7 +99,7 @@ def test_required_columns_checked_before_any_job(spark):
     import pytest
 
     df = spark.createDataFrame([("2021-01-01", 1.0)], "bar_date string, close double")
-    with pytest.raises(ValueError, match=r"\['high', 'low', 'open', 'pct_chg', 'vol'\]"):
+    with pytest.raises(ValueError, match="high, low, open, pct_chg, vol"):
         B.clean_bars(df)
 
 
@@ -144,3 +144,23 @@ def test_date_bounds():
     assert B.normalize_date_bound("latest", today=dt.date(2026, 1, 2)) == dt.date(2026, 1, 2)
     with pytest.raises(ValueError):
         B.normalize_date_bound("04.01.2021")
+
+
+def test_date_text_must_match_to_its_end(spark):
+    texts = ["2021-01-04", "2021/01/04", "20210104", " 2021-01-04 ", "2021-01-04 10:11:12", "2021-01-04T10:11:12", "2021-01-04 10:11:12.123456"]
+    bad = ["2021-01-04garbage", "2021-01-0499", "2021/01/04 xx", "x", "", None, "2021-13-01"]
+    raw = spark.createDataFrame([(str(i), t, *["1"] * 6) for i, t in enumerate(texts + bad)], "series_id string, bar_date string, open string, high string, low string, close string, vol string, pct_chg string")
+    got = {r.series_id: str(r.bar_date) for r in B.clean_bars(raw).collect()}
+    assert got == {str(i): "2021-01-04" for i in range(len(texts))}
+
+
+def test_several_bars_on_one_day_are_refused_or_reduced(spark):
+    import pytest
+
+    bars = daily(spark, [1, 2, 3])
+    twice = bars.unionByName(bars.limit(1).withColumn("close", bars.close + 5))
+    with pytest.raises(ValueError, match="2 bars on 2021-01-01"):
+        B.clean_bars(twice)
+    out = B.clean_bars(twice, on_duplicate="largest").orderBy("bar_date").collect()
+    assert [r.close for r in out] == [6.0, 2.0, 3.0]
+    assert B.clean_bars(bars).count() == 3

@@ -64,3 +64,42 @@ def test_strict_series_check_raises(spark):
     assert SP.check_series(report).count() == 1
     with pytest.raises(ValueError, match="short"):
         SP.check_series(report, strict=True)
+
+
+def test_short_series_are_named_end_to_end(spark):
+    from conftest import daily
+
+    from panelcast.operators import features as feat
+
+    bars = daily(spark, range(1, 300), series="long").unionByName(daily(spark, range(1, 31), series="short")).unionByName(daily(spark, [1, 2], series="tiny"))
+    frame = feat.finalize(feat.build_features(bars))
+    assert {r[0] for r in frame.select("series_id").distinct().collect()} == {"long", "short"}
+    report = SP.series_report(frame, series=bars)
+    bad = {r["series_id"]: (r["n_rows"], r["reason"]) for r in SP.check_series(report).collect()}
+    assert bad == {"short": (21, "fewer than 50 rows"), "tiny": (0, "fewer than 50 rows")}
+    with pytest.raises(ValueError, match="short|tiny"):
+        SP.check_series(report, strict=True)
+    with pytest.raises(ValueError, match="no series"):
+        E.tuning_inputs(frame.where("series_id = 'short'"))
+    assert {r[0] for r in SP.long_enough(frame).select("series_id").distinct().collect()} == {"long"}
+
+
+def test_calibration_folds_are_stratified_blocks(spark):
+    from conftest import daily
+
+    rows = daily(spark, range(1, 92)).selectExpr("series_id", "bar_date", "int(close) % 3 = 0 as t").selectExpr("series_id", "bar_date", "int(t) as target_up")
+    got = MD.stratified_folds(rows, 3).collect()
+    for label in (0, 1):
+        own = [r["_cv"] for r in sorted(got, key=lambda r: r.bar_date) if r.target_up == label]
+        assert own == sorted(own) and max(own.count(k) for k in range(3)) - min(own.count(k) for k in range(3)) <= 1
+
+
+def test_intermediates_are_pruned_and_released(spark):
+    from panelcast import session
+
+    df = spark.range(1000).selectExpr("id", "id % 3 as fold_id", "if(id % 2 = 0, 'train', 'val') as split", "id * 2 as x")
+    made = session.materialize(df, partition_by=["fold_id", "split"])
+    assert made.columns == df.columns
+    plan = made.where("fold_id = 1 and split = 'val'").select("x")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(fold_id" in plan and "ReadSchema: struct<x:bigint>" in plan
+    assert session.release(spark) >= 1 and session.release(spark) == 0
