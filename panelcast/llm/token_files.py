@@ -27,6 +27,7 @@ file and gives no rows.  Only the id and text columns are read.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -165,7 +166,7 @@ class Reader:
 
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> tuple[Pool, int]:
-    """Encoder of words between ASCII white space, and the size of the vocabulary.
+    """Encoder of words and their halves, and the size of the vocabulary.
 
     The tokenizer's normaliser and pre-tokenizer never join text across white
     space, so a text's ids are its words' ids in a row.  Unseen words go through
@@ -202,7 +203,21 @@ def word_encoder(path: str) -> tuple[Pool, int]:
                 a = b + 1
         return np.concatenate([np.zeros(0, np.int32), *out]), np.fromiter(map(len, out), np.int64, len(out))
 
-    return Pool(encode), t.get_vocab_size(with_added_tokens=True)
+    return Pool(encode, 700_000), t.get_vocab_size(with_added_tokens=True)
+
+
+#: Marks that never join a letter or digit before them; what ends a word is its own unit.
+_TAIL = ",.;:!?"
+
+
+def _halves(word: str) -> tuple[str, str]:
+    """A word as stem and closing marks, if the tokenizer splits there; ASCII stems in lower case, as it makes them."""
+    stem = word.rstrip(_TAIL)
+    # The last character as the normaliser leaves it: a mark split off it would join what follows.
+    last = stem[-1:] if stem.isascii() else unicodedata.normalize("NFC", stem[-1:]).lower()[-1:]
+    if not last.isalnum():
+        stem = word
+    return (stem.lower() if stem.isascii() else stem), word[len(stem) :]
 
 
 def encode_words(text: pa.Array, pool: Pool) -> tuple[np.ndarray, np.ndarray]:
@@ -210,8 +225,11 @@ def encode_words(text: pa.Array, pool: Pool) -> tuple[np.ndarray, np.ndarray]:
     words = pc.ascii_split_whitespace(text.cast(pa.large_string()).fill_null(""))
     rows = words.offsets.to_numpy() - words.offsets[0].as_py()
     coded = words.flatten().dictionary_encode()
-    places = pool.find(coded.dictionary.to_pylist())
-    return pool.gather(places[coded.indices.to_numpy()], rows)
+    halves = list(map(_halves, coded.dictionary.to_pylist()))
+    units: dict[str, int] = {}
+    at = np.array([[units.setdefault(h, len(units)) for h in pair] for pair in halves], np.int64).reshape(-1, 2)
+    places = pool.find(list(units))[at] if units else at
+    return pool.gather(places[coded.indices.to_numpy()].ravel(), rows * 2)
 
 
 def _open(path: str, mode: str):

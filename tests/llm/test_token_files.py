@@ -59,6 +59,21 @@ def test_files_equal_the_library_on_whole_texts(spark, tmp_path):
     assert sorted(map(tuple, got), key=lambda r: r[1]) == want
 
 
+def test_words_and_halves_equal_whole_texts():
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(PATH)
+    t.encode_special_tokens = True
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
+    texts += ["A, b. c! d? e; f: g'. h's, i#, j_. K., ... ?! x²? ½. é́, ΑΣ, İ. ñ!! 'S. it's, O'Neil. ''. a'. 5'5.", "Ⅷ, ①. ª! ٣٤. x\u0301, \u0301. \u200b, ZWJ\u200d. \u0958. \u0130. \ufb2a! \u1100\u1161."] + TEXTS
+    pool, _ = T.word_encoder(PATH)
+    ids, ends = T.encode_words(pa.array(texts), pool)
+    for k, x in enumerate(texts):
+        assert ids[ends[k] : ends[k + 1]].tolist() == t.encode(x or "", add_special_tokens=False).ids, x
+
+
 def test_empty_table(spark, tmp_path):
     files = T.write_corpus(spark.createDataFrame([], SCHEMA), f"{tmp_path}/none", PATH)
     assert files == []
