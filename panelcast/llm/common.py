@@ -41,8 +41,12 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-#: Spark's own setting: shuffle files of a finished query are removed with it.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Spark's own settings while a table is written: shuffle files of a finished query are removed with it,
+#: and Python workers get rows in small batches, since a row may hold a very long text or set.
+_WHILE_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+}
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -53,12 +57,14 @@ def stored(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark)
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    before = {key: spark.conf.get(key, None) for key in _WHILE_WRITING}
+    for key, value in _WHILE_WRITING.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 
