@@ -66,10 +66,16 @@ CALIBRATION_STEPS = 10_000
 
 @dataclass(frozen=True)
 class FitOptions:
-    """A fit ends when the loss moves by less than ``tol`` (relative), or after ``max_iter`` iterations."""
+    """A fit ends when the loss moves by less than ``tol`` (relative), or after ``max_iter`` iterations.
+
+    ``max_rows`` bounds the labelled rows that a perceptron learns from (None: all
+    rows); beyond it the rows with the smallest key hashes are taken, so the sample
+    is the same on every run.  Scoring, thresholds and metrics always cover all rows.
+    """
 
     max_iter: int = 900
-    tol: float = 1e-4
+    tol: float = 1e-3
+    max_rows: int | None = None
     seed: int = 42
     calibration: str = "none"
     calib_cv: int = 3
@@ -84,6 +90,7 @@ class FitOptions:
             for bad, what in (
                 (self.max_iter < 1, "at least one iteration"),
                 (self.tol < 0, "a tolerance of 0 or more"),
+                (self.max_rows is not None and self.max_rows < 1, "at least one row to learn from"),
                 (self.calibration not in CALIBRATIONS, f"calibration as one of {', '.join(CALIBRATIONS)}"),
                 (self.calibration != CALIBRATIONS[0] and self.calib_cv < 2, "two or more calibration folds"),
             )
@@ -97,6 +104,13 @@ def _assembler(features: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
 
 
+def learning_rows(rows: DataFrame, opts: FitOptions) -> DataFrame:
+    """The rows a perceptron learns from: all, or the bounded sample of ``opts.max_rows``."""
+    if opts.max_rows is None:
+        return rows
+    return rows.orderBy(F.xxhash64(SERIES, DATE), SERIES, DATE).limit(opts.max_rows)
+
+
 def _labelled(rows: DataFrame, label_col: str = LABEL) -> DataFrame:
     return rows.withColumn("label", F.col(label_col).cast("double"))
 
@@ -111,7 +125,7 @@ def fit_mlp(rows: DataFrame, features: list[str], cfg: MlpConfig, opts: FitOptio
         featuresCol="features",
         labelCol="label",
     )
-    return Pipeline(stages=[_assembler(features), mlp]).fit(_labelled(rows, label_col))
+    return Pipeline(stages=[_assembler(features), mlp]).fit(_labelled(learning_rows(rows, opts), label_col))
 
 
 def fit_logreg(rows: DataFrame, features: list[str], opts: FitOptions, label_col: str = LABEL, reg: float = 0.0) -> PipelineModel:
@@ -446,7 +460,7 @@ def train_sequence_model(
     mlp = MultilayerPerceptronClassifier(
         layers=[width, *hidden, 2], maxIter=opts.max_iter, tol=opts.tol, seed=opts.seed, blockSize=opts.block_size
     )
-    model = mlp.fit(flat.where(F.col(SPLIT) == "train"))
+    model = mlp.fit(learning_rows(flat.where(F.col(SPLIT) == "train"), opts))
     scored = model.transform(flat.where(F.col(SPLIT).isin("val", "test"))).select(
         SERIES, SPLIT, DATE, F.col("label").cast("int").alias("y_true"),
         vector_to_array(F.col("probability"))[1].alias("up_prob"),

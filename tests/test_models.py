@@ -103,3 +103,13 @@ def test_intermediates_are_pruned_and_released(spark):
     plan = made.where("fold_id = 1 and split = 'val'").select("x")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(fold_id" in plan and "ReadSchema: struct<x:bigint>" in plan
     assert session.release(spark) >= 1 and session.release(spark) == 0
+
+
+def test_learning_rows_are_bounded_and_stable(spark):
+    from conftest import daily
+
+    rows = daily(spark, range(1, 200))
+    opts = MD.FitOptions(max_rows=50)
+    a = {r.bar_date for r in MD.learning_rows(rows, opts).collect()}
+    assert len(a) == 50 and a == {r.bar_date for r in MD.learning_rows(rows.repartition(5), opts).collect()}
+    assert MD.learning_rows(rows, MD.FitOptions()).count() == 199
