@@ -66,7 +66,7 @@ CALIBRATION_STEPS = 10_000
 
 @dataclass(frozen=True)
 class FitOptions:
-    """A fit ends when the loss moves by less than ``tol`` (relative), or after ``max_iter`` iterations.
+    """A fit ends when the loss has moved by less than ``tol`` of its first value over 20 iterations, or after ``max_iter``.
 
     ``max_rows`` bounds the labelled rows that a perceptron learns from (None: all
     rows); beyond it the rows with the smallest key hashes are taken, so the sample
@@ -74,7 +74,7 @@ class FitOptions:
     """
 
     max_iter: int = 900
-    tol: float = 1e-3
+    tol: float = 1e-2
     max_rows: int | None = None
     seed: int = 42
     calibration: str = "none"
