@@ -24,7 +24,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -314,9 +313,8 @@ class ByteBpe:
         yield stream.end()
 
 
-@lru_cache(maxsize=2)
 def vocabulary(path: str, pattern: str) -> ByteBpe:
-    return ByteBpe(read_ranks(path), pattern)
+    return C.held(("byte_bpe", path, pattern), lambda: ByteBpe(read_ranks(path), pattern))
 
 
 def _streamed(bpe: ByteBpe, ids: list[int]) -> str:

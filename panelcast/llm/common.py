@@ -7,6 +7,7 @@ helpers work on one Arrow batch inside a task.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -79,6 +80,21 @@ def discard(table: DataFrame) -> None:
             where.delete_dir(path)
 
 
+_HELD: dict = {}
+
+
+def held(name: tuple, make):
+    """The one large object (a vocabulary, a model) that a Python worker keeps between tasks.
+
+    Workers serve one operator after another; a new object replaces the last one.
+    """
+    if name not in _HELD:
+        _HELD.clear()
+        gc.collect()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def text_bytes(df: DataFrame, text_col: str = "text") -> int:
     return df.agg(F.sum(F.octet_length(text_col))).head()[0] or 0
 

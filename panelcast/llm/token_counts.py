@@ -26,7 +26,6 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -177,9 +176,8 @@ class Unigram:
         return [*units, marked[at:]]
 
 
-@lru_cache(maxsize=2)
 def vocabulary(path: str) -> Unigram:
-    return Unigram(read_pieces(path))
+    return C.held(("unigram", path), lambda: Unigram(read_pieces(path)))
 
 
 def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

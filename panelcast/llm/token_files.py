@@ -30,7 +30,6 @@ from __future__ import annotations
 import unicodedata
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -164,8 +163,11 @@ class Reader:
             at = to
 
 
-@lru_cache(maxsize=2)
 def word_encoder(path: str) -> tuple[Pool, int]:
+    return C.held(("words", path), lambda: _word_encoder(path))
+
+
+def _word_encoder(path: str) -> tuple[Pool, int]:
     """Encoder of words and their halves, and the size of the vocabulary.
 
     The tokenizer's normaliser and pre-tokenizer never join text across white
