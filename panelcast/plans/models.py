@@ -74,7 +74,7 @@ class FitOptions:
     """
 
     max_iter: int = 900
-    tol: float = 1e-2
+    tol: float = 1e-4
     max_rows: int | None = None
     seed: int = 42
     calibration: str = "none"

@@ -113,3 +113,12 @@ def test_learning_rows_are_bounded_and_stable(spark):
     a = {r.bar_date for r in MD.learning_rows(rows, opts).collect()}
     assert len(a) == 50 and a == {r.bar_date for r in MD.learning_rows(rows.repartition(5), opts).collect()}
     assert MD.learning_rows(rows, MD.FitOptions()).count() == 199
+
+
+def test_default_fit_is_not_ended_early_by_its_tolerance(training):
+    from panelcast.operators.scaling import scale_rows
+
+    feats = E.EvalSpec().features
+    rows = scale_rows(SP.split_by_time(E.eval_frame(training)), feats, "series", by=[]).where("split = 'train'")
+    model = MD.fit_mlp(rows, feats, MD.MLP_GRID[3], MD.FitOptions())
+    assert model.stages[-1].summary().totalIterations > 200
