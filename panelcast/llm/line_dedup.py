@@ -9,6 +9,11 @@ once are joined back to their texts and extended both ways over every run of
 line is deleted if a run of ``min_lines`` lines that covers it also starts
 earlier: in a text with a smaller id, or further up in the same text.
 
+With ``min_words`` runs of fewer than ``min_lines`` lines count too, if they hold
+that many words together or are all lines of their text.  They are few, so each is
+its own fingerprint.  Such a run is repeated if an equal run that counts starts
+earlier; so a whole short text is held against whole texts, a long line against any.
+
 Defined results: lines end at ``\\n`` and are compared byte by byte; blank lines
 never count and always stay.  NULL text has no lines.  A NULL id ranks after
 every id, and rows with equal ids delete from each other only by place.  An
@@ -28,6 +33,8 @@ from panelcast.llm import runs
 from panelcast.llm.registry import query
 
 MIN_LINES = 3
+#: Words (parted by white space) from which a shorter run counts, where short runs are asked for.
+MIN_WORDS = 50
 
 
 def line_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -48,7 +55,26 @@ def _cut(col) -> tuple:
     return data, starts, ends, rows, C.span_hashes(data, starts, ends), offsets
 
 
-def line_items(min_lines: int = MIN_LINES) -> runs.Items:
+def _words(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Number of words in each line."""
+    first = ~C._SPACE[data]
+    first[1:] &= C._SPACE[data[:-1]]
+    heads = offsets[:-1][offsets[:-1] < len(data)]
+    first[heads] = ~C._SPACE[data[heads]]
+    total = np.concatenate([[0], np.cumsum(first)])
+    return total[ends] - total[starts]
+
+
+def line_items(min_lines: int = MIN_LINES, min_words: int | None = None) -> runs.Items:
+    def short(cut: tuple, n: int) -> np.ndarray:
+        data, starts, ends, rows, _, offsets = cut
+        total = np.concatenate([[0], np.cumsum(_words(data, offsets, starts, ends))])
+        start = np.arange(max(0, len(starts) - n + 1))
+        row = np.searchsorted(rows, start, side="right") - 1
+        inside = start + n <= rows[row + 1]
+        whole = rows[row + 1] - rows[row] == n
+        return start[inside & (whole | (total[start + n] - total[start] >= min_words))]
+
     def anchors(h: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if len(h) < min_lines:
             return np.zeros(0, np.int64), h[:0]
@@ -59,7 +85,7 @@ def line_items(min_lines: int = MIN_LINES) -> runs.Items:
         index = np.unique(start[inside] + min_lines - 1 - np.argmin(back, axis=1))
         return index, h[index]
 
-    return runs.Items(_cut, anchors, min_lines, 1, within=True)
+    return runs.Items(_cut, anchors, min_lines, 1, within=True, short=None if min_words is None else short)
 
 
 def remove_repeated_lines(
@@ -68,6 +94,7 @@ def remove_repeated_lines(
     text_col: str = "text",
     min_lines: int = MIN_LINES,
     group_bytes: int = runs.GROUP_BYTES,
+    min_words: int | None = None,
 ) -> DataFrame:
     """Per row: id, ``n_lines`` (not blank), ``n_removed``, ``kept`` (the text without the deleted lines)."""
 
@@ -92,7 +119,7 @@ def remove_repeated_lines(
         )
 
     schema = f"`{id_col}` long, n_lines long, n_removed long, kept string"
-    return runs.with_removed(df, line_items(min_lines), finish, schema, id_col, text_col, group_bytes)
+    return runs.with_removed(df, line_items(min_lines, min_words), finish, schema, id_col, text_col, group_bytes)
 
 
 _SQL = """
@@ -117,3 +144,32 @@ FROM t LEFT JOIN n USING (doc_id) LEFT JOIN s USING (doc_id)
 def op1_line_dedup(spark, sf_dir):
     out = remove_repeated_lines(C.documents(spark, sf_dir))
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_SHORT_SQL = """
+WITH t AS (SELECT doc_id, str_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
+a AS (SELECT doc_id, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS k FROM t),
+l AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS p FROM a
+      WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+c AS (SELECT *, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS words, count(*) OVER (PARTITION BY doc_id) AS own FROM l),
+x AS (SELECT *, lead(line, 1) OVER o AS line2, lead(line, 2) OVER o AS line3, lead(words, 1) OVER o AS words2
+      FROM c WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+w AS (SELECT doc_id, p, 3 AS size, md5(line || chr(10) || line2 || chr(10) || line3) AS h FROM x WHERE line3 IS NOT NULL
+      UNION ALL SELECT doc_id, p, 2, md5(line || chr(10) || line2) FROM x WHERE line2 IS NOT NULL AND (words + words2 >= 50 OR own = 2)
+      UNION ALL SELECT doc_id, p, 1, md5(line) FROM x WHERE words >= 50 OR own = 1),
+f AS (SELECT doc_id, p, size, row_number() OVER (PARTITION BY size, h ORDER BY doc_id, p) AS turn FROM w),
+g AS (SELECT DISTINCT doc_id, unnest(range(p, p + size)) AS p FROM f WHERE turn > 1),
+n AS (SELECT l.doc_id, count(*) AS n_lines, count(g.p) AS n_removed FROM l LEFT JOIN g USING (doc_id, p) GROUP BY 1),
+s AS (SELECT a.doc_id, string_agg(a.line, chr(10) ORDER BY a.k) AS kept
+      FROM a LEFT JOIN l ON l.doc_id = a.doc_id AND l.k = a.k LEFT JOIN g ON g.doc_id = l.doc_id AND g.p = l.p
+      WHERE g.p IS NULL GROUP BY 1)
+SELECT t.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM t LEFT JOIN n USING (doc_id) LEFT JOIN s USING (doc_id)
+"""
+
+
+@query("op1_line_dedup_short", _SHORT_SQL)
+def op1_line_dedup_short(spark, sf_dir):
+    """Like ``op1_line_dedup``, with long runs of one or two lines and whole short texts."""
+    out = remove_repeated_lines(C.documents(spark, sf_dir), min_words=MIN_WORDS)
+    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

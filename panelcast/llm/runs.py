@@ -58,6 +58,8 @@ class Items:
     length: int
     span: int
     within: bool
+    #: ``short(cut, n)``: starts of the windows of ``n`` items, fewer than ``length``, that count too (None: no such windows).
+    short: Callable | None = None
 
 
 def grouped(
@@ -174,6 +176,49 @@ def shared_anchors(texts: DataFrame, groups: int, items: Items) -> DataFrame:
     return repeated_keys(texts, emit, buckets)
 
 
+def _send_windows(g: int, keys: np.ndarray, second: np.ndarray, ids: np.ndarray, r: np.ndarray, p: np.ndarray, buckets: int, within: bool) -> pa.Table:
+    """Packed rows of a group's windows: those that start earlier in the group are known already, the others are sent."""
+    # Entries in order of key, then place; rows are in order of id already.
+    order = np.lexsort((p, r, second, keys))
+    keys, second, ids, r, p = keys[order], second[order], ids[order], r[order], p[order]
+    first = _firsts(keys, second)
+    head = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
+    later = ids > ids[head]
+    if within:
+        later |= (ids == ids[head]) & (p > p[head])
+    out = [(buckets + g, g, b"", b"", b"", r[later].tobytes(), p[later].tobytes())] if later.any() else []
+    sent = np.flatnonzero(~later)
+    for b, part in by_bucket(keys[sent], buckets):
+        s = sent[part]
+        out.append((b, g, *(x[s].tobytes() for x in (keys, second, ids, r, p))))
+    return _rows(_WINDOWS, out)
+
+
+def _settle_windows(buckets: int, within: bool) -> Callable[[pa.Table], pa.Table]:
+    """Marks, over all groups, each window that also starts earlier."""
+
+    def settle(table: pa.Table) -> pa.Table:
+        if table.column("b")[0].as_py() >= buckets:
+            return table.select(["g", "r", "p"])
+        keys, second, ids = unpack(table, "k", np.uint64), unpack(table, "k2", np.uint64), unpack(table, "i", np.int64)
+        r, p = unpack(table, "r", np.uint32), unpack(table, "p", np.uint32)
+        src = np.repeat(table.column("g").to_numpy(), pc.binary_length(table.column("k")).to_numpy() // 8)
+        order = np.lexsort((p, ids, second, keys))
+        keys, second, ids, r, p, src = (x[order] for x in (keys, second, ids, r, p, src))
+        first = _firsts(keys, second)
+        head = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
+        later = ids > ids[head]
+        if within:
+            later |= (ids == ids[head]) & (p > p[head])
+        r, p, src = r[later], p[later], src[later]
+        order = np.argsort(src, kind="stable")
+        cuts = np.flatnonzero(np.diff(src[order])) + 1
+        parts = [x for x in np.split(order, cuts) if len(x)]
+        return _rows(_FLAGS, [(int(src[x[0]]), r[x].tobytes(), p[x].tobytes()) for x in parts])
+
+    return settle
+
+
 def repeated_windows(texts: DataFrame, groups: int, items: Items) -> DataFrame:
     """Starts (``g, r, p``) of the windows that also start at an earlier place."""
     buckets, length, back = min(groups, MOST_BUCKETS), items.length, items.length - items.span
@@ -195,43 +240,31 @@ def repeated_windows(texts: DataFrame, groups: int, items: Items) -> DataFrame:
         keys, second = C.rolling(h, length)[near], C.rolling(h, length, 1)[near]
         r, p = _place(near, rows)
         ids = ids_of(table)[r]
-        # Entries in order of key, then place; rows are in order of id already.
-        order = np.lexsort((p, r, second, keys))
-        keys, second, ids, r, p = keys[order], second[order], ids[order], r[order], p[order]
-        first = _firsts(keys, second)
-        head = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
-        later = ids > ids[head]
-        if items.within:
-            later |= (ids == ids[head]) & (p > p[head])
-        out = [(buckets + g, g, b"", b"", b"", r[later].tobytes(), p[later].tobytes())] if later.any() else []
-        sent = np.flatnonzero(~later)
-        for b, part in by_bucket(keys[sent], buckets):
-            s = sent[part]
-            out.append((b, g, *(x[s].tobytes() for x in (keys, second, ids, r, p))))
-        return _rows(_WINDOWS, out)
-
-    def settle(table: pa.Table) -> pa.Table:
-        if table.column("b")[0].as_py() >= buckets:
-            return table.select(["g", "r", "p"])
-        keys, second, ids = unpack(table, "k", np.uint64), unpack(table, "k2", np.uint64), unpack(table, "i", np.int64)
-        r, p = unpack(table, "r", np.uint32), unpack(table, "p", np.uint32)
-        src = np.repeat(table.column("g").to_numpy(), pc.binary_length(table.column("k")).to_numpy() // 8)
-        order = np.lexsort((p, ids, second, keys))
-        keys, second, ids, r, p, src = (x[order] for x in (keys, second, ids, r, p, src))
-        first = _firsts(keys, second)
-        head = np.maximum.accumulate(np.where(first, np.arange(len(first)), 0))
-        later = ids > ids[head]
-        if items.within:
-            later |= (ids == ids[head]) & (p > p[head])
-        r, p, src = r[later], p[later], src[later]
-        order = np.argsort(src, kind="stable")
-        cuts = np.flatnonzero(np.diff(src[order])) + 1
-        parts = [x for x in np.split(order, cuts) if len(x)]
-        return _rows(_FLAGS, [(int(src[x[0]]), r[x].tobytes(), p[x].tobytes()) for x in parts])
+        return _send_windows(g, keys, second, ids, r, p, buckets, items.within)
 
     flags = shared_anchors(texts, groups, items)
     windows = texts.groupBy("g").cogroup(flags.groupBy("g")).applyInArrow(emit, _WINDOWS)
-    return windows.groupBy("b").applyInArrow(settle, _FLAGS)
+    return windows.groupBy("b").applyInArrow(_settle_windows(buckets, items.within), _FLAGS)
+
+
+def repeated_short_windows(texts: DataFrame, groups: int, items: Items) -> DataFrame:
+    """Like ``repeated_windows``, of the shorter windows that ``items.short`` names; ``p`` is start * length + items - 1."""
+    buckets = min(groups, MOST_BUCKETS)
+
+    def emit(table: pa.Table) -> pa.Table:
+        table = in_order(table)
+        cut = items.cut(table.column("t"))
+        rows, h = cut[3:5]
+        found = []
+        for n in range(1, items.length):
+            at = items.short(cut, n)
+            r, p = _place(at, rows)
+            found.append((C.rolling(h, n)[at], C.rolling(h, n, 1)[at], r, p * np.uint32(items.length) + np.uint32(n - 1)))
+        keys, second, r, p = (np.concatenate(x) for x in zip(*found))
+        return _send_windows(table.column("g")[0].as_py(), keys, second, ids_of(table)[r], r, p, buckets, items.within)
+
+    windows = texts.groupBy("g").applyInArrow(emit, _WINDOWS)
+    return windows.groupBy("b").applyInArrow(_settle_windows(buckets, items.within), _FLAGS)
 
 
 def with_removed(
@@ -245,17 +278,21 @@ def with_removed(
 ) -> DataFrame:
     """Calls ``finish(rows, cut, removed)`` per group: ``removed`` marks the items that a repeated window covers."""
     texts, groups = grouped(df, id_col, text_col, group_bytes)
-    marks = repeated_windows(texts, groups, items)
+    marks = repeated_windows(texts, groups, items).withColumn("s", F.lit(False))
+    if items.short is not None:
+        marks = marks.unionByName(repeated_short_windows(texts, groups, items).withColumn("s", F.lit(True)))
 
     def apply(table: pa.Table, marked: pa.Table) -> pa.Table:
         table = in_order(table)
         cut = items.cut(table.column("t"))
         rows, cover = cut[3], np.zeros(len(cut[4]) + 1, np.int64)
         if marked.num_rows:
-            r, p = unpack(marked, "r", np.uint32), unpack(marked, "p", np.uint32)
-            at = rows[r] + p.astype(np.int64)
+            r, p = unpack(marked, "r", np.uint32), unpack(marked, "p", np.uint32).astype(np.int64)
+            short = np.repeat(marked.column("s").to_numpy(), pc.binary_length(marked.column("r")).to_numpy() // 4)
+            p, n = np.where(short, p // items.length, p), np.where(short, p % items.length + 1, items.length)
+            at = rows[r] + p
             np.add.at(cover, at, 1)
-            np.add.at(cover, at + items.length, -1)
+            np.add.at(cover, at + n, -1)
         return finish(table, cut, np.cumsum(cover[:-1]) > 0)
 
     return texts.groupBy("g").cogroup(marks.groupBy("g")).applyInArrow(apply, schema)

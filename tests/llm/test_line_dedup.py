@@ -60,3 +60,15 @@ def test_every_window_holds_a_fingerprint():
 
 def test_empty_table(spark):
     assert L.remove_repeated_lines(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_short_runs_and_whole_texts_are_repeats_too(spark):
+    long, half = " ".join(f"w{k}" for k in range(50)), " ".join(f"h{k}" for k in range(25))
+    texts = ["a\n" + long + "\nb", "c\n" + long + "\nd", "x\n" + half + "\n\n" + half + "!\ny", half + "\n" + half + "!\nz", half + "\nz\n1",
+             "one line", "one line\n", "two\n\nlines", " \ntwo\nlines", "two\nmore\none line", None, long + "\n" + long]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    for group_bytes in (1 << 22, 200):
+        got = {r.doc_id: (r.n_removed, r.kept) for r in L.remove_repeated_lines(df, min_words=50, group_bytes=group_bytes).collect()}
+        want = dict(enumerate((0, t or "") for t in texts)) | {1: (1, "c\nd"), 3: (2, "z"), 6: (1, ""), 8: (2, " \n"), 11: (2, "")}
+        assert {k: (n, t.rstrip("\n")) for k, (n, t) in got.items()} == {k: (n, t.rstrip("\n")) for k, (n, t) in want.items()}
+    assert {r.n_removed for r in L.remove_repeated_lines(df).collect()} == {0}
