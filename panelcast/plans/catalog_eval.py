@@ -287,19 +287,27 @@ _SMALL = [
 _F32 = ", ".join(f"CAST(a.{f} AS FLOAT) AS {f}" for f in FEATS)
 
 
-@register(
-    "sequences",
-    _sql(
-        _SMALL + ["sp AS (SELECT *, row_number() OVER (PARTITION BY series_id, split ORDER BY bar_date) - 1 AS p FROM scaled)"],
-        f"""SELECT e.series_id, e.split, e.bar_date AS end_date, CAST(a.p - (e.p - 19) AS INTEGER) AS step, {_F32},
+_WINDOWS = f"""SELECT e.series_id, e.split, e.bar_date AS end_date, CAST(a.p - (e.p - 19) AS INTEGER) AS step, {_F32},
        CAST(e.target_up AS FLOAT) AS y
 FROM sp e JOIN sp a ON a.series_id = e.series_id AND a.split = e.split AND a.p BETWEEN e.p - 19 AND e.p
-WHERE e.p >= 19""",
-    ),
-)
+WHERE e.p >= 19"""
+_PLACES = "sp AS (SELECT *, row_number() OVER (PARTITION BY series_id, split ORDER BY bar_date) - 1 AS p FROM scaled)"
+
+
+def _sequences(scaled):
+    return Q.explode_sequences(Q.build_sequences(scaled, FEATS, 20, within=["split"]), FEATS, within=["split"])
+
+
+@register("sequences", _sql(_SMALL + [_PLACES], _WINDOWS))
 def q_sequences(spark, sf_dir):
-    seqs = Q.build_sequences(_small_scaled(spark, sf_dir), FEATS, 20, within=["split"])
-    return Q.explode_sequences(seqs, FEATS, within=["split"])
+    return _sequences(_small_scaled(spark, sf_dir))
+
+
+@register("sequences_main", _sql([O.bars_cte("main"), *_SMALL[1:], _PLACES], _WINDOWS))
+def q_sequences_main(spark, sf_dir):
+    """The windows of every supplier: their number grows with the tables."""
+    tagged = SP.split_by_time(SP.with_positions(training_frame(spark, sf_dir)))
+    return _sequences(scale_rows(tagged, FEATS, "series", by=[]))
 
 
 @register(

@@ -32,3 +32,24 @@ def test_nonpositive_length_raises(spark):
 def test_latest_window(spark):
     rows = Q.explode_latest(Q.latest_window(_frame(spark, 30), ["f0"], 20), ["f0"]).orderBy("step").collect()
     assert len(rows) == 20 and rows[0]["f0"] == 20.0 and rows[-1]["f0"] == 58.0
+
+
+def test_main_panel_windows_are_a_checked_query(spark):
+    import os
+
+    import duckdb
+    from pyspark.sql import functions as F
+
+    import __spark_entry__ as entry
+
+    sf = "/root/testdata/sf0.001"
+    if not os.path.exists(f"{sf}/lineitem.parquet"):
+        pytest.skip("test data not present")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW lineitem AS SELECT * FROM read_parquet('{sf}/lineitem.parquet')")
+    place = ["series_id", "split", "end_date", "step"]
+    got = entry.queries()["sequences_main"](spark, sf).select(*[F.col(c).cast("string") for c in place], "close", "y").collect()
+    want = con.execute(f"SELECT {', '.join(f'CAST({c} AS VARCHAR)' for c in place)}, close, y FROM ({entry.oracle_sql()['sequences_main']})").fetchall()
+    assert len({r[0] for r in want}) == 10 and len(got) == len(want)
+    for a, b in zip(sorted(map(tuple, got)), sorted(want)):
+        assert a[:4] == b[:4] and a[5] == b[5] and a[4] == pytest.approx(b[4], rel=1e-5, abs=1e-6)
