@@ -232,28 +232,34 @@ def collocations(df: DataFrame, min_count: int = 10, max_words: int = 3, top: in
 @query(
     "op13_phrase_collocations",
     r"""
-WITH pieces AS (
-  SELECT coalesce(lang, 'und') AS lang,
-         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
-  FROM documents),
-worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+WITH rows AS (SELECT row_number() OVER () AS rid, coalesce(lang, 'und') AS lang, coalesce(text, '') AS text FROM documents),
+pieces AS (
+  SELECT rid, lang,
+         unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece,
+         generate_subscripts(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]'), 1) AS pid
+  FROM rows),
+worded AS (
+  SELECT rid, pid, lang, unnest(regexp_extract_all(piece, '[^\x20\x09]+')) AS w,
+         generate_subscripts(regexp_extract_all(piece, '[^\x20\x09]+'), 1) AS pos
+  FROM pieces),
+runs AS (
+  SELECT lang, w, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3
+  FROM worded WINDOW o AS (PARTITION BY rid, pid ORDER BY pos)),
 grams AS (
-  SELECT lang, 1 AS k, unnest(ws) AS phrase FROM worded
+  SELECT lang, 1 AS k, w AS phrase FROM runs
+  UNION ALL SELECT lang, 2, w || ' ' || w2 FROM runs WHERE w2 IS NOT NULL
+  UNION ALL SELECT lang, 3, w || ' ' || w2 || ' ' || w3 FROM runs WHERE w3 IS NOT NULL),
+totals AS (SELECT lang, count(*) AS n FROM runs GROUP BY lang),
+f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 10),
+cand AS MATERIALIZED (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2),
+cuts AS MATERIALIZED (
+  SELECT lang, phrase, a, 1 AS cut, ws[1] AS part, array_to_string(ws[2:], ' ') AS rest FROM cand
   UNION ALL
-  SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM worded
-  UNION ALL
-  SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) FROM worded),
-f AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY ALL),
-totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
-cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2 AND f >= 10),
-cuts AS (
-  SELECT lang, k, phrase, a, unnest(range(1, k)) AS cut, ws FROM cand),
-scored AS (
-  SELECT c.lang, c.phrase, c.a, c.cut, x.f AS l, y.f AS r,
-         (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS score
-  FROM cuts c
-  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[:c.cut], ' ')
-  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[c.cut + 1:], ' ')),
+  SELECT lang, phrase, a, 2, ws[1] || ' ' || ws[2], ws[3] FROM cand WHERE k = 3),
+lefts AS MATERIALIZED (SELECT c.*, x.f AS l FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.part),
+scored AS MATERIALIZED (
+  SELECT c.lang, c.phrase, c.a, c.cut, c.l, y.f AS r, (1000000::HUGEINT * c.a * c.a) // (c.l::HUGEINT * y.f) AS score
+  FROM lefts c JOIN f y ON y.lang = c.lang AND y.phrase = c.rest),
 worst AS (
   SELECT * FROM scored
   QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
