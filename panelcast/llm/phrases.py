@@ -42,11 +42,13 @@ from pyspark.sql import functions as F
 from panelcast.llm import common as C
 from panelcast.llm.registry import query
 
-SHARDS = 8
+SHARDS = 3
 SALTS = 8
+TOP_PARTS = 64
 MAP_BITS = 28
 BLOCK = 1_000_000
-_LOW = np.uint64(15)  # a key's low bits give way to the shard
+BUCKET_BYTES = 16_000_000
+_REST = 28
 
 _BREAK = np.zeros(256, dtype=bool)
 _BREAK[[*b".,;:!?", *range(10, 14)]] = True
@@ -121,44 +123,91 @@ def _prepared(df: DataFrame, text_col: str, lang_col: str, shards: int) -> DataF
     )
 
 
-def mine_shards(texts: DataFrame, min_count: int, max_words: int) -> DataFrame:
-    """``entry``: keys (low bits: the shard) of the phrases that are frequent in their shard."""
+def bucket_count(texts: DataFrame) -> int:
+    return 1 + C.text_bytes(texts) // BUCKET_BYTES
+
+
+def _bucket_and_rest(key: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The bucket by a key's upper half, and 28 bits of its lower half."""
+    upper, lower = key >> np.uint64(32), key & np.uint64((1 << _REST) - 1)
+    return (upper * np.uint64(buckets)) >> np.uint64(32), lower
+
+
+def mine_shards(texts: DataFrame, min_count: int, max_words: int, buckets: int) -> DataFrame:
+    """``bucket, found, n``: in each hash bucket the phrases that are frequent in some shard.
+
+    A block of words sends one packed row per bucket: four bytes per distinct
+    phrase, 28 of hash and 4 of shard, as often as it occurs but not beyond the
+    local support.  A bucket's size follows ``BUCKET_BYTES`` of text, so the share
+    of phrases that meet another one's hash is the same (0.2 %) at every size.
+    """
     _, support = local_support(min_count)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in _pieces(batches):
             words = _Words(piece.column("text"), piece.column("seed").to_numpy().view(np.uint64))
             shard = piece.column("shard").to_numpy().astype(np.uint64)
             for a, b in _blocks(words):
-                found = [key & ~_LOW | shard[words.row[at]] for _, at, key in words.keys(a, b, max_words)]
+                found = []
+                for _, at, key in words.keys(a, b, max_words):
+                    bucket, rest = _bucket_and_rest(key, buckets)
+                    found.append(bucket << np.uint64(32) | rest << np.uint64(4) | shard[words.row[at]])
                 entry, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(entry.view(np.int64)), pa.array(n)], names=["entry", "c"])
+                entry = np.repeat(entry, np.minimum(n, support))
+                cuts = np.searchsorted(entry, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
+                packed = pa.Array.from_buffers(pa.binary(), buckets, [None, pa.py_buffer((cuts * 4).astype(np.int32)), pa.py_buffer(entry.astype(np.uint32))])
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(buckets)), packed], names=["bucket", "entries"])
+
+    def frequent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, parts = None, []
+        for batch in batches:
+            bucket = batch.column("bucket")[0]
+            parts += [np.frombuffer(x.as_buffer(), np.uint32) for x in batch.column("entries")]
+        entry = np.sort(np.concatenate(parts))
+        local = entry[: max(0, len(entry) - support + 1)]  # a run of this length ends where it began
+        rest = np.unique(local[local == entry[support - 1 :]] >> np.uint32(4))
+        yield pa.RecordBatch.from_arrays([pa.array([bucket.as_py()]), pa.array([rest.tobytes()], pa.binary()), pa.array([len(rest)])], names=["bucket", "found", "n"])
+
+    return texts.mapInArrow(pack, "bucket long, entries binary").where(F.length("entries") > 0).groupBy("bucket").applyInArrow(frequent, "bucket long, found binary, n long")
 
-    counted = texts.mapInArrow(run, "entry long, c long").groupBy("entry").agg(F.sum("c").alias("c"))
-    return counted.where(F.col("c") >= support).select("entry")
 
+def candidate_map(mined: DataFrame, buckets: int) -> tuple[int, np.ndarray]:
+    """(bits per bucket, map) with a bit set for every candidate; at most 2^``MAP_BITS`` bits, or 64 a bucket.
+
+    Only the finished pieces of the map pass through the driver.
+    """
+    total = mined.agg(F.sum("n")).head()[0] or 0
+    wanted = min(1 << MAP_BITS, 8 * max(total, 1)) // buckets
+    width = 1 << max(6, min(_REST, wanted.bit_length() - 1))
+    shift = _REST - (width.bit_length() - 1)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = []
+            for found in batch.column("found"):
+                one = np.zeros(width, bool)
+                one[np.frombuffer(found.as_buffer(), np.uint32) >> np.uint32(shift)] = True
+                bits.append(np.packbits(one, bitorder="little").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("bucket"), pa.array(bits, pa.binary())], names=["bucket", "bits"])
 
-def candidate_map(entries: DataFrame) -> tuple[int, np.ndarray]:
-    """(bits, map) with a bit set for every locally frequent key; size bounded by ``MAP_BITS``."""
-    size = min(MAP_BITS, max(16, int(entries.count() * 8).bit_length()))
-    cells = entries.select(F.shiftrightunsigned("entry", 64 - size).alias("cell"))
-    rows = cells.groupBy(F.shiftright("cell", 6).alias("w")).agg(F.expr("bit_or(shiftleft(1L, int(cell & 63)))").alias("bits")).toArrow()
-    out = np.zeros(1 << (size - 6), np.uint64)
-    out[rows.column("w").to_numpy()] = rows.column("bits").to_numpy().view(np.uint64)
-    return size, out
+    out = np.zeros((buckets, width // 8), np.uint8)
+    for row in mined.select("bucket", "found").mapInArrow(mark, "bucket long, bits binary").toLocalIterator():
+        out[row.bucket] = np.frombuffer(row.bits, np.uint8)
+    return shift, out
 
 
-def _passes(key: np.ndarray, size: int, bits: np.ndarray) -> np.ndarray:
-    cell = key >> np.uint64(64 - size)
-    return (bits[cell >> np.uint64(6)] >> (cell & np.uint64(63))) & np.uint64(1) == 1
+def _passes(key: np.ndarray, shift: int, bits: np.ndarray) -> np.ndarray:
+    bucket, rest = _bucket_and_rest(key, len(bits))
+    cell = rest >> np.uint64(shift)
+    return (bits[bucket, cell >> np.uint64(3)] >> (cell & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _phrase_counts(words: _Words, size: int, bits: np.ndarray, max_words: int) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+def _phrase_counts(words: _Words, shift: int, bits: np.ndarray, max_words: int) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
     """(length, distinct phrases, counts) of what passes the map, block by block."""
     codes, names = words.codes()
     for a, b in _blocks(words):
         for length, at, key in words.keys(a, b, max_words):
-            at = at[_passes(key, size, bits)]
+            at = at[_passes(key, shift, bits)]
             code = codes[at]
             for k in range(1, length):
                 if k > 1:  # dense again, so that the product stays below 2^63
@@ -176,9 +225,10 @@ def frequent_phrases(df: DataFrame, min_count: int = 10, max_words: int = 3, tex
     """
     spark = df.sparkSession
     texts = _prepared(df, text_col, lang_col, local_support(min_count)[0])
-    local = C.stored(mine_shards(texts, min_count, max_words))
-    size, bits = candidate_map(local)
-    C.discard(local)
+    buckets = bucket_count(texts)
+    mined = C.stored(mine_shards(texts, min_count, max_words, buckets))
+    shift, bits = candidate_map(mined, buckets)
+    C.discard(mined)
     shared = spark.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,7 +236,7 @@ def frequent_phrases(df: DataFrame, min_count: int = 10, max_words: int = 3, tex
             for lang in piece.column("lang").unique().to_pylist():
                 own = piece.filter(pc.equal(piece.column("lang"), lang))
                 words = _Words(own.column("text"), own.column("seed").to_numpy().view(np.uint64))
-                found = [(0, pa.array([""], pa.large_string()), np.array([len(words)])), *_phrase_counts(words, size, shared.value, max_words)]
+                found = [(0, pa.array([""], pa.large_string()), np.array([len(words)])), *_phrase_counts(words, shift, shared.value, max_words)]
                 for length, phrase, n in found:
                     rows = len(phrase)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * rows, pa.string()), pa.array(np.full(rows, length, np.int32)), phrase.cast(pa.string()), pa.array(n.astype(np.int64))], names=["lang", "words", "phrase", "c"])
@@ -223,8 +273,10 @@ def collocations(df: DataFrame, min_count: int = 10, max_words: int = 3, top: in
     inner = inner.select("lang", "f", "ws", "size", F.explode(F.expr("sequence(1, words - size + 1)")).alias("at"))
     covered = inner.groupBy("lang", F.array_join(F.expr("slice(ws, at, size)"), " ").alias("phrase")).agg(F.max("f").alias("longer"))
     kept = worst.join(covered, ["lang", "phrase"], "left").where(F.coalesce(F.col("longer") * 100 < F.col("a") * contained_percent, F.lit(True)))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("w.score").desc(), F.col("a").desc(), "phrase"))
-    best = kept.withColumn("rank", rank).where(F.col("rank") <= top)
+    order = [F.col("w.score").desc(), F.col("a").desc(), F.col("phrase")]
+    ranked = lambda rows, *by: rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang", *by).orderBy(*order))).where(F.col("rank") <= top)
+    # First within parts of a language, so that one task ends up with a bounded number of rows.
+    best = ranked(ranked(kept.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(TOP_PARTS))), "part"))
     totals = found.where(F.col("words") == 0).select("lang", F.col("f").alias("n"))
     return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", F.col("w.l").alias("l"), F.col("w.r").alias("r"), "n", F.col("w.score").alias("score"))
 

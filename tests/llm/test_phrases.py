@@ -65,6 +65,7 @@ def result(df):
 @pytest.mark.parametrize("options", [{}, {"min_count": 2, "top": 30}, {"min_count": 3, "max_words": 5, "contained_percent": 80}, {"min_count": 20, "max_words": 2}])
 def test_equals_brute_force(spark, monkeypatch, options):
     monkeypatch.setattr(P, "BLOCK", 50)  # phrases cross the blocks of a text
+    monkeypatch.setattr(P, "BUCKET_BYTES", 700)
     rows = rows_of(1)
     names = {"contained_percent": "percent"}
     got = result(P.collocations(frame(spark, rows), **options))
@@ -74,18 +75,20 @@ def test_equals_brute_force(spark, monkeypatch, options):
 def test_full_map_keeps_everything(spark, monkeypatch):
     """A map far too small for the candidates lets other phrases pass, which the global count removes."""
     monkeypatch.setattr(P, "MAP_BITS", 6)
+    monkeypatch.setattr(P, "BUCKET_BYTES", 1000)
     rows = rows_of(2)
     assert result(P.collocations(frame(spark, rows), min_count=4)) == brute(rows, min_count=4)
 
 
 def test_local_mining_is_complete_and_prunes(spark):
     rows = rows_of(3, 300) + [("rare pair number %d" % k, "en") for k in range(200)]
-    texts = P._prepared(frame(spark, rows), "text", "lang", 8)
-    entries = {int(r.entry) & (2**64 - 1) for r in P.mine_shards(texts, 10, 3).collect()}
+    texts = P._prepared(frame(spark, rows), "text", "lang", P.SHARDS)
+    found = P.mine_shards(texts, 10, 3, 5).collect()
     counts, _ = brute_counts(rows)
     frequent = sum(a >= 10 for a in counts.values())
-    assert frequent <= len({e >> 4 for e in entries}) < len(counts)
-    assert P.local_support(10) == (8, 2) and P.local_support(2) == (1, 2) and P.local_support(100) == (8, 13)
+    assert frequent <= sum(r.n for r in found) < len(counts)
+    assert all(len(r.found) == 4 * r.n for r in found) and len(found) == 5
+    assert P.local_support(10) == (3, 4) and P.local_support(2) == (1, 2) and P.local_support(100) == (3, 34)
 
 
 def test_copies_long_text_and_ties(spark):
