@@ -1,16 +1,14 @@
-"""Model fitting with Spark ML: rolling MLP validation, final evaluation,
-calibration, a logistic baseline and scoring of the latest bar.
-
-Fits are the only driver-side loop in the package: one distributed Spark ML
-job per (fold, configuration), a fixed number that does not grow with the
-data.  One model per fold is fitted on the rows of every series (pooled
-panel); scaling stays per series and per fold.  Everything around the fits
-(fold rows, scaling, threshold sweep, stable picks, metrics, error analysis)
-is the same DataFrame code as for the fixture scorer.
-
-Differences from the reference's learner that cannot be hidden: Spark's
-multilayer perceptron has sigmoid hidden units, the L-BFGS solver and no L2
-term, so ``alpha`` is carried for reporting only.
+"""Model fitting: rolling perceptron validation, final evaluation, calibration,
+a logistic baseline, a sequence classifier and scoring of the latest bar.
+
+One model per fold is fitted on the rows of every series (pooled panel); scaling
+stays per series and per fold.  All networks of a step (folds x configurations)
+are fitted together by ``operators.perceptron``.  A tuned fit stops on the
+validation part; a refit on train and validation runs as many steps as the tuned
+fit chose.  With a ``RunStore`` fitted networks are kept under the key of their
+rows and options, and later queries read them instead of fitting again.
+Everything around the fits (fold rows, scaling, threshold sweep, stable picks,
+metrics, error analysis) is the same DataFrame code as for the fixture scorer.
 """
 
 from __future__ import annotations
@@ -19,14 +17,15 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelcast.operators import isotonic as I
 from panelcast.operators import metrics as M
+from panelcast.operators import perceptron as P
 from panelcast.operators import selection as S
 from panelcast.operators.consistency import combine_rows, fold_stability
 from panelcast.operators.errors import error_cases, error_summary
@@ -34,6 +33,7 @@ from panelcast.operators.scaling import fit_scaler, scale_rows
 from panelcast.operators.scoring import predict_class
 from panelcast.operators.splits import FOLD, SPLIT, require_folds, split_by_time
 from panelcast.plans import evaluation as E
+from panelcast.plans.run_store import RunStore, content_key, rows_key
 from panelcast.schema import DATE, LABEL, SERIES
 from panelcast.session import materialize
 
@@ -60,29 +60,22 @@ MLP_GRID = [
 
 
 CALIBRATIONS = ("none", "sigmoid", "isotonic")
-#: Isotonic calibration works on a weighted histogram of scores with this many steps.
-CALIBRATION_STEPS = 10_000
 
 
 @dataclass(frozen=True)
 class FitOptions:
-    """A fit ends when the loss has moved by less than ``tol`` of its first value over 20 iterations, or after ``max_iter``.
+    """When a fit ends (see ``operators.perceptron``) and how its scores are calibrated.
 
-    ``max_rows`` bounds the labelled rows that a perceptron learns from (None: all
-    rows); beyond it the rows with the smallest key hashes are taken, so the sample
-    is the same on every run.  Scoring, thresholds and metrics always cover all rows.
+    Fits learn from all labelled rows.  ``patience`` is the number of steps without
+    a lower loss on the held-out part after which a fit stops, where it has one.
     """
 
     max_iter: int = 900
     tol: float = 1e-4
-    max_rows: int | None = None
+    patience: int = 20
     seed: int = 42
     calibration: str = "none"
     calib_cv: int = 3
-    block_size: int = 128
-    # Independent fits submitted together from driver threads (as Spark ML's
-    # tuners do); the scheduler runs their jobs side by side on the cluster.
-    parallelism: int = 4
 
     def __post_init__(self) -> None:
         wrong = [
@@ -90,7 +83,7 @@ class FitOptions:
             for bad, what in (
                 (self.max_iter < 1, "at least one iteration"),
                 (self.tol < 0, "a tolerance of 0 or more"),
-                (self.max_rows is not None and self.max_rows < 1, "at least one row to learn from"),
+                (self.patience < 1, "a patience of one step or more"),
                 (self.calibration not in CALIBRATIONS, f"calibration as one of {', '.join(CALIBRATIONS)}"),
                 (self.calibration != CALIBRATIONS[0] and self.calib_cv < 2, "two or more calibration folds"),
             )
@@ -99,33 +92,45 @@ class FitOptions:
         if wrong:
             raise ValueError(f"the fit needs {'; '.join(wrong)}")
 
+    @property
+    def search(self) -> P.Search:
+        return P.Search(self.max_iter, self.tol, self.patience, self.seed)
+
 
 def _assembler(features: list[str]) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")
 
 
-def learning_rows(rows: DataFrame, opts: FitOptions) -> DataFrame:
-    """The rows a perceptron learns from: all, or the bounded sample of ``opts.max_rows``."""
-    if opts.max_rows is None:
-        return rows
-    return rows.orderBy(F.xxhash64(SERIES, DATE), SERIES, DATE).limit(opts.max_rows)
-
-
 def _labelled(rows: DataFrame, label_col: str = LABEL) -> DataFrame:
     return rows.withColumn("label", F.col(label_col).cast("double"))
 
 
-def fit_mlp(rows: DataFrame, features: list[str], cfg: MlpConfig, opts: FitOptions, label_col: str = LABEL) -> PipelineModel:
-    mlp = MultilayerPerceptronClassifier(
-        layers=[len(features), *cfg.hidden, 2],
-        maxIter=opts.max_iter,
-        tol=opts.tol,
-        seed=opts.seed,
-        blockSize=opts.block_size,
-        featuresCol="features",
-        labelCol="label",
-    )
-    return Pipeline(stages=[_assembler(features), mlp]).fit(_labelled(learning_rows(rows, opts), label_col))
+def fit_networks(
+    rows: DataFrame, features: list[str], fits: list[P.Fit], part, opts: FitOptions, label_col: str = LABEL,
+    store: RunStore | None = None, key: str | None = None,
+) -> dict[str, P.Perceptron]:
+    """Fit networks over the parts of ``rows`` that the column ``part`` names.
+
+    With a store and the ``key`` of the rows, networks that an earlier run left
+    are read, and only the others are fitted.
+    """
+    keys = {fit.name: content_key(key, features, fit, opts.search, label_col) for fit in fits}
+    found = {name: model for name, k in keys.items() if store and key and (model := store.get(k))}
+    missing = [fit for fit in fits if fit.name not in found]
+    if missing:
+        blocks = materialize(P.pack_rows(rows, features, label_col, part))
+        for name, model in P.fit_all(blocks, missing, len(features), opts.search).items():
+            found[name] = model
+            if store and key:
+                store.put(keys[name], model)
+    return found
+
+
+def fit_mlp(rows: DataFrame, features: list[str], cfg: MlpConfig, opts: FitOptions, label_col: str = LABEL, held=None, iterations: int | None = None) -> P.Perceptron:
+    """One network on ``rows``; those that the condition ``held`` marks only decide when to stop."""
+    part = F.lit("learn") if held is None else F.when(held, "held").otherwise("learn")
+    fit = P.Fit("one", cfg.hidden, cfg.alpha, ("learn",), () if held is None else ("held",), iterations)
+    return fit_networks(rows, features, [fit], part, opts, label_col)["one"]
 
 
 def fit_logreg(rows: DataFrame, features: list[str], opts: FitOptions, label_col: str = LABEL, reg: float = 0.0) -> PipelineModel:
@@ -133,7 +138,7 @@ def fit_logreg(rows: DataFrame, features: list[str], opts: FitOptions, label_col
     return Pipeline(stages=[_assembler(features), lr]).fit(_labelled(rows, label_col))
 
 
-def model_prob(model: PipelineModel, rows: DataFrame) -> DataFrame:
+def logreg_prob(model: PipelineModel, rows: DataFrame) -> DataFrame:
     """Rows plus ``up_prob`` = P(class 1)."""
     out = model.transform(rows)
     return out.withColumn("up_prob", vector_to_array(F.col("probability"))[1]).drop(
@@ -146,32 +151,29 @@ def model_prob(model: PipelineModel, rows: DataFrame) -> DataFrame:
 
 @dataclass
 class CalibratedModel:
-    """k base models, each with a calibrator fitted on the rows it did not see;
-    the calibrated probabilities of the k pairs are averaged."""
+    """k networks, each with a calibrator fitted on the rows it did not learn from;
+    the calibrated probabilities of the k pairs are averaged.
 
-    pairs: list[tuple[PipelineModel, object]]
-    method: str
+    A calibrator is a sigmoid (slope and offset of the raw probability) or the
+    blocks of an isotonic fit.
+    """
+
+    pairs: list[tuple[P.Perceptron, tuple[float, float] | DataFrame]]
+    features: list[str]
 
     def prob(self, rows: DataFrame) -> DataFrame:
         # Each pair adds one column to the same rows: no join, one pass.
-        out = rows
-        for i, (base, cal) in enumerate(self.pairs):
-            out = model_prob(base, out).withColumnRenamed("up_prob", "_raw")
-            out = _apply_calibrator(cal, out, self.method).withColumnRenamed("_cal", f"_p{i}").drop("_raw")
-        k = len(self.pairs)
-        mean = reduce(lambda a, b: a + b, [F.col(f"_p{i}") for i in range(k)]) / F.lit(float(k))
-        return out.withColumn("up_prob", mean).drop(*[f"_p{i}" for i in range(k)])
-
-
-def _apply_calibrator(cal, rows: DataFrame, method: str) -> DataFrame:
-    if method == "sigmoid":
-        feats = VectorAssembler(inputCols=["_raw"], outputCol="_cf").transform(rows)
-        out = cal.transform(feats)
-        return out.withColumn("_cal", vector_to_array(F.col("probability"))[1]).drop(
-            "_cf", "rawPrediction", "probability", "prediction"
-        )
-    out = cal.transform(rows)
-    return out.withColumn("_cal", F.least(F.greatest(F.col("prediction"), F.lit(0.0)), F.lit(1.0))).drop("prediction")
+        out, names = rows, []
+        for i, (network, calibrator) in enumerate(self.pairs):
+            out = P.with_prob(out, self.features, {"": network}, out="_raw")
+            if isinstance(calibrator, tuple):
+                slope, offset = calibrator
+                out = out.withColumn(f"_p{i}", 1 / (1 + F.exp(-(F.col("_raw") * slope + offset))))
+            else:
+                out = I.calibrated(out, calibrator, "_raw", f"_p{i}")
+            names.append(f"_p{i}")
+        mean = reduce(lambda a, b: a + b, map(F.col, names)) / F.lit(float(len(names)))
+        return out.withColumn("up_prob", mean).drop("_raw", *names)
 
 
 def stratified_folds(rows: DataFrame, k: int, label_col: str = LABEL) -> DataFrame:
@@ -186,50 +188,37 @@ def stratified_folds(rows: DataFrame, k: int, label_col: str = LABEL) -> DataFra
 
 
 def fit_calibrated(rows: DataFrame, features: list[str], cfg: MlpConfig, opts: FitOptions, label_col: str = LABEL) -> CalibratedModel:
-    """Cross-fitted calibration: fold i's calibrator is fitted on base model i's
-    scores of fold i, base model i on the other folds.  Folds are stratified by
-    class.  Isotonic points are pooled on the driver by Spark's own learner, so
-    their number is bounded: scores are rounded to ``CALIBRATION_STEPS`` steps."""
+    """Cross-fitted calibration: fold i's calibrator is fitted on network i's scores
+    of fold i, network i on the other folds (fold i also tells it when to stop).
+    Folds are stratified by class; the k networks are fitted together."""
     k = opts.calib_cv
     tagged = materialize(stratified_folds(rows, k, label_col), partition_by=["_cv"])
+    fits = [P.Fit(str(i), cfg.hidden, cfg.alpha, tuple(str(j) for j in range(k) if j != i), (str(i),)) for i in range(k)]
+    networks = fit_networks(tagged, features, fits, F.col("_cv"), opts, label_col)
+    # Every row scored by the network that did not learn from it, all folds in one pass.
+    held = materialize(P.with_prob(tagged, features, networks, F.col("_cv"), "_raw").select("_cv", "_raw", F.col(label_col).cast("double").alias("label")), partition_by=["_cv"])
     pairs = []
     for i in range(k):
-        base = fit_mlp(tagged.where(F.col("_cv") != i), features, cfg, opts, label_col)
-        held = model_prob(base, tagged.where(F.col("_cv") == i)).withColumn("_raw", F.col("up_prob"))
-        held = held.withColumn("label", F.col(label_col).cast("double"))
+        own = held.where(F.col("_cv") == i)
         if opts.calibration == "sigmoid":
-            cal = LogisticRegression(featuresCol="_cf", labelCol="label").fit(
-                VectorAssembler(inputCols=["_raw"], outputCol="_cf").transform(held)
-            )
+            line = Pipeline(stages=[_assembler(["_raw"]), LogisticRegression(featuresCol="features", labelCol="label")]).fit(own).stages[-1]
+            pairs.append((networks[str(i)], (float(line.coefficients[0]), float(line.intercept))))
         else:
-            steps = held.groupBy((F.round(F.col("_raw") * CALIBRATION_STEPS) / CALIBRATION_STEPS).alias("_raw"))
-            points = steps.agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("_w"))
-            cal = IsotonicRegression(featuresCol="_raw", labelCol="label", weightCol="_w", isotonic=True).fit(points)
-        pairs.append((base, cal))
-    return CalibratedModel(pairs, opts.calibration)
+            pairs.append((networks[str(i)], I.fit_isotonic(own, "_raw", "label")))
+    return CalibratedModel(pairs, features)
 
 
 def fit_prob_model(rows: DataFrame, features: list[str], cfg: MlpConfig, opts: FitOptions, label_col: str = LABEL):
+    """A function that adds ``up_prob``, calibrated if the options say so."""
     if opts.calibration == "none":
         model = fit_mlp(rows, features, cfg, opts, label_col)
-        return lambda df: model_prob(model, df)
-    cal = fit_calibrated(rows, features, cfg, opts, label_col)
-    return cal.prob
+        return lambda df: P.with_prob(df, features, {"": model})
+    return fit_calibrated(rows, features, cfg, opts, label_col).prob
 
 
 # --------------------------------------------------------- rolling / final
 
 
-def _run_parallel(fn, tasks: list, parallelism: int) -> list:
-    """Run independent fit tasks from a small driver thread pool, results in task order."""
-    if parallelism <= 1 or len(tasks) <= 1:
-        return [fn(t) for t in tasks]
-    from concurrent.futures import ThreadPoolExecutor
-
-    with ThreadPoolExecutor(max_workers=min(parallelism, len(tasks))) as pool:
-        return list(pool.map(fn, tasks))
-
-
 def _as_preds(scored: DataFrame, cfg: MlpConfig, keys: list[str]) -> DataFrame:
     return scored.select(
         *keys, F.lit(cfg.config_idx).alias("config_idx"), F.col(LABEL).cast("int").alias("y_true"), "up_prob"
@@ -243,45 +232,77 @@ class MlpRun:
     test_preds: DataFrame
 
 
+_FIT_INFO = "iterations int, steps_run int, train_loss_last double, val_loss_best double, fit_ended string"
+
+
+def _fit_info(spark, models: dict[tuple, P.Perceptron], key_schema: str) -> DataFrame:
+    """What each fit did, one row per fit."""
+    rows = [(*key, m.iterations, m.steps_run, m.loss, m.held_loss, m.ended) for key, m in models.items()]
+    return spark.createDataFrame(rows, f"{key_schema}, {_FIT_INFO}")
+
+
 def rolling_mlp(
     training: DataFrame,
     spec: E.EvalSpec = E.EvalSpec(),
     grid: list[MlpConfig] = MLP_GRID,
     opts: FitOptions = FitOptions(),
+    store: RunStore | None = None,
 ) -> MlpRun:
     """Per fold: fit each config on train, tune its threshold on validation,
     choose a config (stable pick), refit it on train+val (same scaler),
     score test at the validation threshold."""
+    spark = training.sparkSession
     frame = materialize(E.eval_frame(training, spec))
-    # Folders by fold and split: each fit scans only its own part.
+    # Folders by fold and split: scoring scans only its own part.
     scaled = require_folds(materialize(E.rolling_scaled(frame, spec), partition_by=[FOLD, SPLIT]))
     feats = spec.features
     keys = [SERIES, FOLD, SPLIT, DATE]
     folds = [r[FOLD] for r in scaled.select(FOLD).distinct().orderBy(FOLD).collect()]  # fold ids only
+    by_idx = {c.config_idx: c for c in grid}
+    part = F.concat_ws(":", FOLD, SPLIT)
+    key = content_key("rolling", rows_key(frame, [SERIES, DATE, LABEL, *feats]), spec.folds, spec.scaler_scope, spec.seq_len) if store else None
+    rows_of = lambda *splits: scaled.where(F.col(SPLIT).isin(*splits))
 
-    def fit_and_score(task):
-        f, cfg = task
-        in_fold = scaled.where(F.col(FOLD) == f)
-        score = fit_prob_model(in_fold.where(F.col(SPLIT) == "train"), feats, cfg, opts)
-        return _as_preds(score(in_fold.where(F.col(SPLIT) == "val")), cfg, keys)
-
-    val_parts = _run_parallel(fit_and_score, [(f, cfg) for f in folds for cfg in grid], opts.parallelism)
+    infos: dict[tuple, P.Perceptron] = {}
+    val_parts, tuned = [], {}
+    if opts.calibration == "none":
+        fits = [P.Fit(f"{f}/{c.config_idx}", c.hidden, c.alpha, (f"{f}:train",), (f"{f}:val",)) for f in folds for c in grid]
+        tuned = fit_networks(rows_of("train", "val"), feats, fits, part, opts, store=store, key=key)
+        infos = {(f, c.config_idx): tuned[f"{f}/{c.config_idx}"] for f in folds for c in grid}
+        for c in grid:
+            models = {str(f): tuned[f"{f}/{c.config_idx}"] for f in folds}
+            val_parts.append(_as_preds(P.with_prob(rows_of("val"), feats, models, F.col(FOLD)), c, keys))
+    else:
+        for f in folds:
+            for c in grid:
+                score = fit_prob_model(rows_of("train").where(F.col(FOLD) == f), feats, c, opts)
+                val_parts.append(_as_preds(score(rows_of("val").where(F.col(FOLD) == f)), c, keys))
     val_preds = materialize(reduce(DataFrame.unionByName, val_parts))
     cands = E.config_candidates(val_preds, spec)
     choice = materialize(E.fold_choice(cands, spec))
     chosen = {r[FOLD]: r["config_idx"] for r in choice.select(FOLD, "config_idx").collect()}  # one row per fold
-    by_idx = {c.config_idx: c for c in grid}
 
-    def refit_and_test(task):
-        f, idx = task
-        in_fold = scaled.where(F.col(FOLD) == f)
-        score = fit_prob_model(in_fold.where(F.col(SPLIT).isin("train", "val")), feats, by_idx[idx], opts)
-        return _as_preds(score(in_fold.where(F.col(SPLIT) == "test")), by_idx[idx], keys)
-
-    test_parts = _run_parallel(refit_and_test, sorted(chosen.items()), opts.parallelism)
-    test_preds = materialize(reduce(DataFrame.unionByName, test_parts))
+    if opts.calibration == "none":
+        again = [
+            P.Fit(f"{f}/refit", by_idx[i].hidden, by_idx[i].alpha, (f"{f}:train", f"{f}:val"), iterations=tuned[f"{f}/{i}"].iterations)
+            for f, i in sorted(chosen.items())
+        ]
+        refits = fit_networks(rows_of("train", "val"), feats, again, part, opts, store=store, key=key)
+        scored = P.with_prob(rows_of("test"), feats, {str(f): refits[f"{f}/refit"] for f in chosen}, F.col(FOLD))
+        index = F.create_map(*[F.lit(x) for pair in chosen.items() for x in pair])[F.col(FOLD)]
+        test_preds = scored.select(*keys, index.alias("config_idx"), F.col(LABEL).cast("int").alias("y_true"), "up_prob")
+    else:
+        parts = []
+        for f, i in sorted(chosen.items()):
+            own = scaled.where(F.col(FOLD) == f)
+            score = fit_prob_model(own.where(F.col(SPLIT).isin("train", "val")), feats, by_idx[i], opts)
+            parts.append(_as_preds(score(own.where(F.col(SPLIT) == "test")), by_idx[i], keys))
+        test_preds = reduce(DataFrame.unionByName, parts)
+    test_preds = materialize(test_preds)
     fold_rows = E.fold_results(test_preds, choice, spec, sizes_from=scaled)
-    return MlpRun(with_settings(cands, grid, spec, opts), with_settings(fold_rows, grid, spec, opts), test_preds)
+    info = _fit_info(spark, infos, f"{FOLD} {scaled.schema[FOLD].dataType.simpleString()}, config_idx int")
+    described = [with_settings(rows, grid, spec, opts).join(info, [FOLD, "config_idx"], "left") for rows in (cands, fold_rows)]
+    return MlpRun(*described, test_preds)
 
 
 def with_settings(rows: DataFrame, grid: list[MlpConfig], spec: E.EvalSpec, opts: FitOptions) -> DataFrame:
@@ -317,6 +338,7 @@ def final_mlp(
     rolling_folds: DataFrame,
     spec: E.EvalSpec = E.EvalSpec(),
     opts: FitOptions = FitOptions(),
+    store: RunStore | None = None,
 ) -> FinalRun:
     """Time split: fit on train, tune on validation, snap, refit on train+val,
     evaluate test at the final threshold."""
@@ -324,11 +346,21 @@ def final_mlp(
     tagged = split_by_time(frame, spec.folds.train_ratio, spec.folds.val_ratio, spec.folds.test_ratio)
     scaled = materialize(scale_rows(tagged, spec.features, spec.scaler_scope, by=[]), partition_by=[SPLIT])
     keys = [SERIES, SPLIT, DATE]
-    base = fit_prob_model(scaled.where(F.col(SPLIT) == "train"), spec.features, best, opts)
-    val_preds = _as_preds(base(scaled.where(F.col(SPLIT) == "val")), best, keys)
-    refit = fit_prob_model(scaled.where(F.col(SPLIT).isin("train", "val")), spec.features, best, opts)
-    test_preds = _as_preds(refit(scaled.where(F.col(SPLIT) == "test")), best, keys)
-    preds = materialize(val_preds.unionByName(test_preds), partition_by=[SPLIT])
+    feats = spec.features
+    rows_of = lambda *splits: scaled.where(F.col(SPLIT).isin(*splits))
+    if opts.calibration == "none":
+        key = content_key("final", rows_key(frame, [SERIES, DATE, LABEL, *feats]), spec.folds, spec.scaler_scope, spec.seq_len) if store else None
+        tune = P.Fit("tuned", best.hidden, best.alpha, ("train",), ("val",))
+        base = fit_networks(rows_of("train", "val"), feats, [tune], F.col(SPLIT), opts, store=store, key=key)["tuned"]
+        both = P.Fit("refit", best.hidden, best.alpha, ("train", "val"), iterations=base.iterations)
+        refit = fit_networks(rows_of("train", "val"), feats, [both], F.col(SPLIT), opts, store=store, key=key)["refit"]
+        scored = P.with_prob(rows_of("val", "test"), feats, {"val": base, "test": refit}, F.col(SPLIT))
+        preds = _as_preds(scored, best, keys)
+    else:
+        base = fit_prob_model(rows_of("train"), feats, best, opts)
+        refit = fit_prob_model(rows_of("train", "val"), feats, best, opts)
+        preds = _as_preds(base(rows_of("val")), best, keys).unionByName(_as_preds(refit(rows_of("test")), best, keys))
+    preds = materialize(preds, partition_by=[SPLIT])
     thr = E.final_threshold_row(preds, rolling_folds, spec)
     test = E.final_test_predictions(preds, thr)
     cases = error_cases(test, "threshold")
@@ -367,7 +399,7 @@ def logreg_baseline(training: DataFrame, spec: E.EvalSpec = E.EvalSpec(), opts:
     tagged = split_by_time(frame, spec.folds.train_ratio, spec.folds.val_ratio, spec.folds.test_ratio)
     scaled = materialize(scale_rows(tagged, spec.features, spec.scaler_scope, by=[]), partition_by=[SPLIT])
     model = fit_logreg(scaled.where(F.col(SPLIT) == "train"), spec.features, opts)
-    test = model_prob(model, scaled.where(F.col(SPLIT) == "test")).withColumn("y_true", F.col(LABEL).cast("int"))
+    test = logreg_prob(model, scaled.where(F.col(SPLIT) == "test")).withColumn("y_true", F.col(LABEL).cast("int"))
     test = materialize(test.select(SERIES, DATE, "y_true", "up_prob"))
     rates = M.classification_metrics(test, [], threshold)
     auc = M.roc_auc(test.withColumn("_g", F.lit(0)), ["_g"]).drop("_g", "positives", "negatives")
@@ -377,18 +409,18 @@ def logreg_baseline(training: DataFrame, spec: E.EvalSpec = E.EvalSpec(), opts:
 # ------------------------------------------------------------ persistence
 
 
-def save_model(model: PipelineModel, settings: DataFrame, path: str) -> None:
-    """Model plus a one-row settings table (features, threshold, ...)."""
-    model.write().overwrite().save(f"{path}/model")
+def save_model(model: P.Perceptron, settings: DataFrame, path: str) -> None:
+    """Network plus a one-row settings table (features, threshold, ...)."""
+    settings.sparkSession.createDataFrame([model.row()], P.Perceptron.SCHEMA).write.mode("overwrite").parquet(f"{path}/model")
     settings.write.mode("overwrite").parquet(f"{path}/settings")
 
 
-def load_model(spark, path: str) -> tuple[PipelineModel, DataFrame]:
-    return PipelineModel.load(f"{path}/model"), spark.read.parquet(f"{path}/settings")
+def load_model(spark, path: str) -> tuple[P.Perceptron, DataFrame]:
+    return P.Perceptron.of(spark.read.parquet(f"{path}/model").first()), spark.read.parquet(f"{path}/settings")
 
 
 def predict_latest(
-    frame: DataFrame, scaler: DataFrame, model: PipelineModel, features: list[str], threshold: float, min_rows: int = 1
+    frame: DataFrame, scaler: DataFrame, model: P.Perceptron, features: list[str], threshold: float, min_rows: int = 1
 ) -> DataFrame:
     """Score the newest bar of every series with ``min_rows`` rows or more: date, probability, class, threshold."""
     from pyspark.sql import Window
@@ -400,7 +432,7 @@ def predict_latest(
     latest = frame.withColumns({"_rn": F.row_number().over(w), "_rows": rows})
     latest = latest.where((F.col("_rn") == 1) & (F.col("_rows") >= min_rows)).drop("_rn", "_rows")
     scaled = apply_scaler(latest, scaler, features, [SERIES])
-    scored = model_prob(model, scaled)
+    scored = P.with_prob(scaled, features, {"": model})
     return scored.select(
         SERIES,
         F.col(DATE).alias("trade_date"),
@@ -410,14 +442,14 @@ def predict_latest(
     )
 
 
-def fit_for_latest(training: DataFrame, spec: E.EvalSpec, cfg: MlpConfig, opts: FitOptions) -> tuple[DataFrame, PipelineModel, DataFrame]:
-    """Scaler from the train part of the time split (per series) and a model on train+val."""
+def fit_for_latest(training: DataFrame, spec: E.EvalSpec, cfg: MlpConfig, opts: FitOptions) -> tuple[DataFrame, P.Perceptron, DataFrame]:
+    """Scaler from the train part of the time split (per series) and a model on train+val, stopped where validation did."""
     frame = E.eval_frame(training, spec)
     tagged = materialize(split_by_time(frame, spec.folds.train_ratio, spec.folds.val_ratio, spec.folds.test_ratio))
     scaler = fit_scaler(tagged, spec.features, "series", by=[])
-    scaled = scale_rows(tagged, spec.features, "series", by=[])
-    model = fit_mlp(scaled.where(F.col(SPLIT).isin("train", "val")), spec.features, cfg, opts)
-    return frame, model, scaler
+    known = materialize(scale_rows(tagged, spec.features, "series", by=[]).where(F.col(SPLIT).isin("train", "val")))
+    tuned = fit_mlp(known, spec.features, cfg, opts, held=F.col(SPLIT) == "val")
+    return frame, fit_mlp(known, spec.features, cfg, opts, iterations=tuned.iterations), scaler
 
 
 # ------------------------------------------------------- sequence classifier
@@ -437,51 +469,44 @@ def train_sequence_model(
     threshold: float = 0.5,
 ) -> SequenceRun:
     """Time split -> train-only scaler -> L-row windows per split -> classifier
-    on the flattened window -> validation loss and test metrics at a fixed
-    threshold, with the test predictions.
+    on the flattened window, stopped on the validation part -> losses and test
+    metrics at a fixed threshold, with the test predictions.
 
-    Windows never cross a split.  The window is flattened to L*F inputs (oldest
-    row first) for Spark's multilayer perceptron.
+    Windows never cross a split.  Rows are packed once per series and split; the
+    windows (L*F inputs, oldest row first) exist only inside the tasks that
+    evaluate them.
     """
-    from pyspark.ml.functions import array_to_vector
-
-    from panelcast.operators.sequences import build_sequences
     from panelcast.operators.splits import split_sizes
 
     tagged = split_by_time(training, spec.folds.train_ratio, spec.folds.val_ratio, spec.folds.test_ratio)
-    # The scaled rows are stored, not the windows: those hold every row ``seq_len`` times.
     scaled = materialize(scale_rows(tagged, spec.features, spec.scaler_scope, by=[]), partition_by=[SPLIT])
-    seqs = build_sequences(scaled, spec.features, spec.seq_len, within=[SPLIT])
-    flat = seqs.select(
-        SERIES, SPLIT, F.col("end_date").alias(DATE),
-        array_to_vector(F.flatten("x")).alias("features"), F.col("y").cast("double").alias("label"),
-    )
-    width = spec.seq_len * len(spec.features)
-    mlp = MultilayerPerceptronClassifier(
-        layers=[width, *hidden, 2], maxIter=opts.max_iter, tol=opts.tol, seed=opts.seed, blockSize=opts.block_size
-    )
-    model = mlp.fit(learning_rows(flat.where(F.col(SPLIT) == "train"), opts))
-    scored = model.transform(flat.where(F.col(SPLIT).isin("val", "test"))).select(
-        SERIES, SPLIT, DATE, F.col("label").cast("int").alias("y_true"),
-        vector_to_array(F.col("probability"))[1].alias("up_prob"),
-        # The outputs before the softmax: no probability has to be inverted for the loss.
-        (vector_to_array(F.col("rawPrediction"))[1] - vector_to_array(F.col("rawPrediction"))[0]).alias("logit"),
-    )
-    scored = materialize(scored, partition_by=[SPLIT])
-    val_loss = M.log_loss(scored.where(F.col(SPLIT) == "val").withColumn("_g", F.lit(0)), ["_g"]).select(
-        F.col("log_loss").alias("val_loss")
-    )
-    test = scored.where(F.col(SPLIT) == "test").withColumn("y_pred", predict_class(F.col("up_prob"), threshold))
+    feats, length = spec.features, spec.seq_len
+    known = scaled.where(F.col(SPLIT).isin("train", "val"))
+    blocks = materialize(P.pack_series(known, feats, LABEL, F.col(SPLIT), SERIES, DATE))
+    fit = P.Fit("sequence", tuple(hidden), 0.0, ("train",), ("val",))
+    model = P.fit_all(blocks, [fit], len(feats), opts.search, window=length)["sequence"]
+    test = P.window_probs(scaled.where(F.col(SPLIT) == "test"), feats, LABEL, model, length, [SERIES], DATE)
+    test = materialize(test.withColumn("y_pred", predict_class(F.col("up_prob"), threshold)))
     rates = M.with_confusion_matrix(M.confusion(test, [], F.lit(float(threshold)))).select(
         "tn", "fp", "fn", "tp", "confusion_matrix"
     )
     rates = M.with_rates(rates).select("accuracy", "f1", "confusion_matrix")
     sizes = split_sizes(tagged).groupBy().pivot(SPLIT, ["train", "val", "test"]).agg(F.first("rows"))
-    samples = flat.groupBy().pivot(SPLIT, ["train", "val", "test"]).agg(F.count(F.lit(1)))
+    samples = F.greatest(F.count(F.lit(1)) - (length - 1), F.lit(0)).alias("n")
+    per_series = scaled.groupBy(SERIES, SPLIT).agg(samples)
+    samples = per_series.groupBy().pivot(SPLIT, ["train", "val", "test"]).agg(F.sum("n"))
     metrics = combine_rows(
         sizes.select(F.struct("train", "val", "test").alias("split_rows")),
         samples.select(F.struct("train", "val", "test").alias("sequence_samples")),
-        val_loss,
         rates,
-    ).withColumns({"threshold": F.lit(float(threshold)), "sequence_length": F.lit(spec.seq_len)})
+    ).withColumns(
+        {
+            "train_loss_last": F.lit(model.loss),
+            "val_loss_best": F.lit(model.held_loss),
+            "iterations": F.lit(model.iterations),
+            "steps_run": F.lit(model.steps_run),
+            "threshold": F.lit(float(threshold)),
+            "sequence_length": F.lit(length),
+        }
+    )
     return SequenceRun(metrics, test.select(SERIES, DATE, "y_true", "up_prob", "y_pred"))

@@ -1,4 +1,4 @@
-"""Spark ML layer on the smallest panel with a tiny iteration cap."""
+"""Model layer on the smallest panel with a tiny iteration cap."""
 
 import os
 
@@ -105,20 +105,61 @@ def test_intermediates_are_pruned_and_released(spark):
     assert session.release(spark) >= 1 and session.release(spark) == 0
 
 
-def test_learning_rows_are_bounded_and_stable(spark):
-    from conftest import daily
-
-    rows = daily(spark, range(1, 200))
-    opts = MD.FitOptions(max_rows=50)
-    a = {r.bar_date for r in MD.learning_rows(rows, opts).collect()}
-    assert len(a) == 50 and a == {r.bar_date for r in MD.learning_rows(rows.repartition(5), opts).collect()}
-    assert MD.learning_rows(rows, MD.FitOptions()).count() == 199
-
-
-def test_default_fit_is_not_ended_early_by_its_tolerance(training):
-    from panelcast.operators.scaling import scale_rows
-
-    feats = E.EvalSpec().features
-    rows = scale_rows(SP.split_by_time(E.eval_frame(training)), feats, "series", by=[]).where("split = 'train'")
-    model = MD.fit_mlp(rows, feats, MD.MLP_GRID[3], MD.FitOptions())
-    assert model.stages[-1].summary().totalIterations > 200
+def test_run_store_keeps_fits_by_content(spark, training, tmp_path, monkeypatch):
+    """A second run reads the networks; another option, configuration or row fits anew."""
+    from panelcast.operators import perceptron as P
+    from panelcast.plans.run_store import RunStore
+
+    fitted = []
+    fit_all = P.fit_all
+    monkeypatch.setattr(P, "fit_all", lambda blocks, fits, *rest: fitted.append(sorted(f.name for f in fits)) or fit_all(blocks, fits, *rest))
+    store, spec, grid = RunStore(spark, str(tmp_path)), E.EvalSpec(), MD.MLP_GRID[3:]
+    first = MD.rolling_mlp(training, spec, grid, QUICK, store)
+    assert fitted == [["1/3", "2/3", "3/3"], ["1/refit", "2/refit", "3/refit"]]
+    again = MD.rolling_mlp(training.repartition(3), spec, grid, QUICK, store)
+    assert len(fitted) == 2 and sorted(map(str, first.fold_rows.collect())) == sorted(map(str, again.fold_rows.collect()))
+    MD.rolling_mlp(training, spec, [MD.MLP_GRID[2], *grid], QUICK, store)
+    assert fitted[2] == ["1/2", "2/2", "3/2"]
+    fitted.clear()
+    MD.rolling_mlp(training.withColumn("target_up", 1 - F.col("target_up")), spec, grid, QUICK, store)
+    assert fitted[0] == ["1/3", "2/3", "3/3"]
+    fitted.clear()
+    MD.rolling_mlp(training, spec, grid, MD.FitOptions(max_iter=4), store)
+    assert fitted[0] == ["1/3", "2/3", "3/3"]
+
+
+def test_broken_off_entry_is_not_read(spark, tmp_path):
+    from panelcast.operators import perceptron as P
+    from panelcast.plans.run_store import RunStore
+
+    store = RunStore(spark, str(tmp_path))
+    model = P.Perceptron([2, 1], P.initial_weights([2, 1], 1), 0.1, 3, 5, 0.5, None, "limit")
+    store.put("k", model)
+    assert store.get("k").row() == model.row() and store.get("other") is None
+    os.remove(tmp_path / "k" / "_SUCCESS")
+    assert store.get("k") is None
+
+
+def test_penalties_give_different_fits_and_results_say_what_was_fitted(training):
+    grid = [MD.MlpConfig(0, (8,), 50.0), MD.MlpConfig(1, (8,), 1e-4)]
+    run = MD.rolling_mlp(training, E.EvalSpec(), grid, QUICK)
+    rows = {(r["fold_id"], r["config_idx"]): r for r in run.config_rows.collect()}
+    for f in (1, 2, 3):
+        a, b = rows[f, 0], rows[f, 1]
+        assert a["train_loss_last"] != b["train_loss_last"] and a["val_loss_best"] != b["val_loss_best"]
+        assert 1 <= a["iterations"] <= a["steps_run"] <= QUICK.max_iter and a["fit_ended"]
+
+
+def test_saved_model_scores_alike(spark, training, tmp_path):
+    frame, model, scaler = MD.fit_for_latest(training, E.EvalSpec(), MD.MLP_GRID[3], QUICK)
+    MD.save_model(model, spark.createDataFrame([(0.5,)], "threshold double"), str(tmp_path))
+    loaded, settings = MD.load_model(spark, str(tmp_path))
+    a, b = (MD.predict_latest(frame, scaler, m, E.EvalSpec().features, settings.first()["threshold"], 20).orderBy("series_id").collect() for m in (model, loaded))
+    assert a == b and a
+
+
+def test_sequence_model_reports_its_losses(training):
+    run = MD.train_sequence_model(training, E.EvalSpec(), (4,), QUICK)
+    row = run.metrics.first()
+    assert row["train_loss_last"] > 0 and row["val_loss_best"] > 0 and row["iterations"] <= 5
+    assert run.predictions.count() == row["sequence_samples"]["test"]
