@@ -7,6 +7,7 @@ helpers work on one Arrow batch inside a task.
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Iterator
 from functools import lru_cache
@@ -89,12 +90,22 @@ def held(name: tuple, make):
     Workers serve one operator after another; a new object replaces the last one.
     """
     if name not in _HELD:
-        _HELD.clear()
-        gc.collect()
+        if _HELD:
+            _HELD.clear()
+            _give_back()
         _HELD[name] = make()
     return _HELD[name]
 
 
+def _give_back() -> None:
+    """Return freed memory to the system, where the C library can."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_bytes(df: DataFrame, text_col: str = "text") -> int:
     return df.agg(F.sum(F.octet_length(text_col))).head()[0] or 0
 

@@ -163,12 +163,15 @@ class Reader:
             at = to
 
 
-def word_encoder(path: str) -> tuple[Pool, int]:
+def word_encoder(path: str) -> tuple[Pool, int, tuple[str, ...]]:
     return C.held(("words", path), lambda: _word_encoder(path))
 
 
-def _word_encoder(path: str) -> tuple[Pool, int]:
-    """Encoder of words and their halves, and the size of the vocabulary.
+def _word_encoder(path: str) -> tuple[Pool, int, tuple[str, ...]]:
+    """Encoder of words and their halves, the size of the vocabulary, and its special strings.
+
+    A special string written in a text is that token, as the library has it; such
+    words are encoded one by one, all others as if no string were special.
 
     The tokenizer's normaliser and pre-tokenizer never join text across white
     space, so a text's ids are its words' ids in a row.  Unseen words go through
@@ -179,22 +182,27 @@ def _word_encoder(path: str) -> tuple[Pool, int]:
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark already runs one task per core
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.encode_special_tokens = True
+    t, plain = Tokenizer.from_file(path), Tokenizer.from_file(path)
+    plain.encode_special_tokens = True
+    special = tuple(sorted(str(x.content) for x in t.get_added_tokens_decoder().values() if x.special))
+    # Only strings matched as they stand, without blanks, stay inside one word.
+    if any(x.normalized or x.lstrip or x.rstrip or x.single_word or x.content.split() != [x.content] for x in t.get_added_tokens_decoder().values()):
+        raise ValueError("a special token may reach beyond a word")
     mark = "\0"
-    own = t.encode(mark, add_special_tokens=False).ids
+    own = plain.encode(mark, add_special_tokens=False).ids
     if len(own) != 1:
         raise ValueError("the separator must be a single token")
 
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         out: list = [None] * len(words)
-        odd = [k for k, w in enumerate(words) if mark in w]
-        even = [k for k, w in enumerate(words) if mark not in w]
+        alone = [mark in w or _holds(w, special) for w in words]
+        odd = [k for k, a in enumerate(alone) if a]
+        even = [k for k, a in enumerate(alone) if not a]
         for k in odd:
             out[k] = np.array(t.encode(words[k], add_special_tokens=False).ids, np.int32)
         for at in range(0, len(even), 20_000):
             part = even[at : at + 20_000]
-            ids = t.encode_batch_fast([f" {mark} ".join(words[k] for k in part)], add_special_tokens=False)[0].ids
+            ids = plain.encode_batch_fast([f" {mark} ".join(words[k] for k in part)], add_special_tokens=False)[0].ids
             ids = np.array(ids, np.int32)
             cuts = np.flatnonzero(ids == own[0])
             if len(cuts) != len(part) - 1:
@@ -205,15 +213,24 @@ def _word_encoder(path: str) -> tuple[Pool, int]:
                 a = b + 1
         return np.concatenate([np.zeros(0, np.int32), *out]), np.fromiter(map(len, out), np.int64, len(out))
 
-    return Pool(encode, 700_000), t.get_vocab_size(with_added_tokens=True)
+    return Pool(encode, 700_000), t.get_vocab_size(with_added_tokens=True), special
 
 
 #: Marks that never join a letter or digit before them; what ends a word is its own unit.
 _TAIL = ",.;:!?"
 
 
-def _halves(word: str) -> tuple[str, str]:
-    """A word as stem and closing marks, if the tokenizer splits there; ASCII stems in lower case, as it makes them."""
+def _holds(word: str, special: tuple[str, ...]) -> bool:
+    return any(s in word for s in special)
+
+
+def _halves(word: str, special: tuple[str, ...]) -> tuple[str, str]:
+    """A word as stem and closing marks, if the tokenizer splits there; ASCII stems in lower case, as it makes them.
+
+    What holds a special string, or would in lower case, stays as it is.
+    """
+    if _holds(word.lower(), special):
+        return word, ""
     stem = word.rstrip(_TAIL)
     # The last character as the normaliser leaves it: a mark split off it would join what follows.
     last = stem[-1:] if stem.isascii() else unicodedata.normalize("NFC", stem[-1:]).lower()[-1:]
@@ -222,12 +239,12 @@ def _halves(word: str) -> tuple[str, str]:
     return (stem.lower() if stem.isascii() else stem), word[len(stem) :]
 
 
-def encode_words(text: pa.Array, pool: Pool) -> tuple[np.ndarray, np.ndarray]:
+def encode_words(text: pa.Array, pool: Pool, special: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in a row and each text's offsets into them."""
     words = pc.ascii_split_whitespace(text.cast(pa.large_string()).fill_null(""))
     rows = words.offsets.to_numpy() - words.offsets[0].as_py()
     coded = words.flatten().dictionary_encode()
-    halves = list(map(_halves, coded.dictionary.to_pylist()))
+    halves = [_halves(w, special) for w in coded.dictionary.to_pylist()]
     units: dict[str, int] = {}
     at = np.array([[units.setdefault(h, len(units)) for h in pair] for pair in halves], np.int64).reshape(-1, 2)
     places = pool.find(list(units))[at] if units else at
@@ -254,14 +271,14 @@ def write_corpus(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         final = f"{folder}/part-{task.partitionId():08d}.tok"
-        pool, size = word_encoder(vocabulary)
+        pool, size, special = word_encoder(vocabulary)
         writer = where = out = name = None
         for batch in batches:
             for piece in C.slices(batch, "t"):
                 if writer is None:
                     where, name, out = _open(f"{final}.{task.taskAttemptId()}.tmp", "w")
                     writer = Writer(out, bits_for(max(size, end + 1)))
-                ids, rows = encode_words(piece.column("t"), pool)
+                ids, rows = encode_words(piece.column("t"), pool, special)
                 closed = np.insert(ids, rows[1:], end)
                 known = pc.is_valid(piece.column("i")).to_numpy(zero_copy_only=False).astype(np.uint8)
                 writer.add(piece.column("i").fill_null(0).to_numpy(), known, np.diff(rows) + 1, closed)

@@ -61,5 +61,12 @@ def test_run_handles_nulls_clashing_columns_and_empty_tables(spark, tmp_path):
         assert all(r.exact for r in got)
         assert len(got) > 20 if part else got == []
     docs = spark.read.parquet(f"{tmp_path}/some/documents.parquet")
+    # Columns named like those the stages work with keep their values.
+    odd = docs.selectExpr("*", "doc_id + 7000 as __bits", "doc_id + 8000 as __limit", "doc_id as c1", "doc_id as label", "doc_id as id").drop("row_key").selectExpr("*", "doc_id + 9000 as row_key")
+    whole = {str(r) for r in odd.collect()}
+    for name, stage in P.STAGES[:-1]:
+        got = stage(spark, odd, f"{tmp_path}/some")
+        rows = got.collect()
+        assert got.columns == odd.columns and rows and {str(r) for r in rows} <= whole, name
     for _, stage in P.STAGES[:-1]:
         assert stage(spark, docs, f"{tmp_path}/some").columns == docs.columns

@@ -10,7 +10,7 @@ from panelcast.llm import token_files as T
 PATH = public_tokenizers.path("word_bpe_49k.json")
 SCHEMA = "doc_id long, text string, start string, n_tokens int"
 TEXTS = ["Hello  World, it's 12345 ok!", None, "", " \n\t", "naïve café Ünïcode ÉCOLE ß İstanbul", "x́ ́y àb", "a b　c d",
-         "日本語のテキスト 你好", "nul\0in word \0 end", "\0", "<|startoftext|> don't <|endoftext|>", "emoji 😀👍🏽 x", "ΣΑΣ ΣΑΣ.", "a\x1cb\x85c", "word " * 30_000, "'s 't it'S", "K Å"]
+         "日本語のテキスト 你好", "nul\0in word \0 end", "\0", "<|startoftext|> don't <|endoftext|>", "a<|endoftext|>B. <|ENDOFTEXT|>! <|endoftext|>. X<|startoftext|><|endoftext|>, <|EndOfText|>e", "<|endoftext|", "<|endoftext|>\0x", "emoji 😀👍🏽 x", "ΣΑΣ ΣΑΣ.", "a\x1cb\x85c", "word " * 30_000, "'s 't it'S", "K Å"]
 
 
 def test_pack_round_trip():
@@ -45,7 +45,6 @@ def test_files_equal_the_library_on_whole_texts(spark, tmp_path):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     rows = [(i * 3 % 17, x, "s", i) for i, x in enumerate(TEXTS)] + [(None, "last", None, None), (3, "twin", None, 1)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(4)
     files = T.write_corpus(df, f"file://{tmp_path}/tok", PATH, file_bytes=40_000)
@@ -65,11 +64,10 @@ def test_words_and_halves_equal_whole_texts():
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     texts = pq.read_table("/root/testdata/sf0.01/documents.parquet", columns=["text"])["text"].to_pylist()
     texts += ["A, b. c! d? e; f: g'. h's, i#, j_. K., ... ?! x²? ½. é́, ΑΣ, İ. ñ!! 'S. it's, O'Neil. ''. a'. 5'5.", "Ⅷ, ①. ª! ٣٤. x\u0301, \u0301. \u200b, ZWJ\u200d. \u0958. \u0130. \ufb2a! \u1100\u1161."] + TEXTS
-    pool, _ = T.word_encoder(PATH)
-    ids, ends = T.encode_words(pa.array(texts), pool)
+    pool, _, special = T.word_encoder(PATH)
+    ids, ends = T.encode_words(pa.array(texts), pool, special)
     for k, x in enumerate(texts):
         assert ids[ends[k] : ends[k + 1]].tolist() == t.encode(x or "", add_special_tokens=False).ids, x
 
