@@ -2,7 +2,6 @@
 
 from panelcast.functions.columns import (  # noqa: F401
     EPS,
-    clip_sqrt,
     null_if_nan,
     parse_date,
     ratio_gap,

@@ -63,11 +63,6 @@ def zero_safe_return(cur: Column, base: Column) -> Column:
     return cur / F.nullif(base, F.lit(0.0)) - F.lit(1.0)
 
 
-def clip_sqrt(v: Column) -> Column:
-    """Variance to volatility, negative round-off clipped to zero."""
-    return F.sqrt(F.greatest(v, F.lit(0.0)))
-
-
 def sigmoid(x: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-x))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.functions.columns import safe_ratio
@@ -158,6 +158,7 @@ def fold_stability(fold_rows: DataFrame, by: list[str] | None = None) -> DataFra
     )
 
 
-def order_consistency(rows: DataFrame) -> DataFrame:
-    """Sink order of the per-feature report: largest mean absolute difference first."""
-    return rows.orderBy(F.col("mean_abs_diff").desc_nulls_last(), F.col("column"))
+def consistency_order(digits: int | None = None) -> list[Column]:
+    """Sink order of the per-feature report: largest mean absolute difference first (to ``digits``, if given)."""
+    size = F.col("mean_abs_diff") if digits is None else F.round("mean_abs_diff", digits)
+    return [size.desc_nulls_last(), F.col("column").asc()]

@@ -284,14 +284,16 @@ _SMALL = [
     O.time_split_cte(src="pos"),
     O.scaled_cte(FEATS, "tsplit", "series_id", keep=""),
 ]
-_F32 = ", ".join(f"CAST(a.{f} AS FLOAT) AS {f}" for f in FEATS)
+_STRUCT = ", ".join(f"'{f}': {f}" for f in FEATS)
+_F32 = ", ".join(f"CAST(x[k].{f} AS FLOAT) AS {f}" for f in FEATS)
 
 
-_WINDOWS = f"""SELECT e.series_id, e.split, e.bar_date AS end_date, CAST(a.p - (e.p - 19) AS INTEGER) AS step, {_F32},
-       CAST(e.target_up AS FLOAT) AS y
-FROM sp e JOIN sp a ON a.series_id = e.series_id AND a.split = e.split AND a.p BETWEEN e.p - 19 AND e.p
-WHERE e.p >= 19"""
-_PLACES = "sp AS (SELECT *, row_number() OVER (PARTITION BY series_id, split ORDER BY bar_date) - 1 AS p FROM scaled)"
+_WINDOWS = f"""SELECT series_id, split, end_date, CAST(k - 1 AS INTEGER) AS step, {_F32}, CAST(target_up AS FLOAT) AS y
+FROM (SELECT *, unnest(generate_series(1, 20)) AS k FROM windows WHERE len(x) = 20)"""
+_PLACES = f"""windows AS (
+    SELECT series_id, split, bar_date AS end_date, target_up, list({{{_STRUCT}}}) OVER (
+      PARTITION BY series_id, split ORDER BY bar_date ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS x FROM scaled
+)"""
 
 
 def _sequences(scaled):

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from panelcast.operators import consistency as C
 from panelcast.operators import features as feat
-from panelcast.operators.errors import error_distribution
+from panelcast.operators.errors import ERROR_ORDER, error_distribution
 from panelcast.plans import evaluation as E
 from panelcast.plans import oracle as O
 from panelcast.plans import publish as P
 from panelcast.plans.registry import panel, register, training_frame
-from panelcast.plans.catalog_eval import _CANDS, _FOLD_RES, _STAB, FEATS, SPEC, TUNE, BETA
+from panelcast.plans.catalog_eval import _BASE, _CANDS, _FOLD_RES, _STAB, FEATS, SPEC, TUNE, BETA
 from panelcast.operators.scoring import FIXTURE_SCORERS
+from panelcast.plans.signal_store import SignalStore
 from panelcast.schema import FEATURE_COLUMNS, LABEL
+from panelcast.session import ensure_checkpoint_dir, materialize
+from panelcast.sources.store import read_ordered, write_ordered
 
 
 def final_run(spark, sf_dir, form="dataframe"):
@@ -223,6 +228,42 @@ def q_feature_consistency_training(spark, sf_dir):
     return C.feature_consistency(a, b, FEATS, names=("dataframe", "sql"))
 
 
+# ---------------------------------------------------------- ordered sinks
+
+
+def _sink(spark, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+
+
+@register(
+    "ordered_error_cases",
+    _sql(
+        _FINAL,
+        "SELECT series_id, bar_date, error_type, abs_gap_from_threshold, "
+        "row_number() OVER (ORDER BY error_type, abs_gap_from_threshold, series_id, bar_date) - 1 AS position FROM fcases",
+    ),
+)
+def q_ordered_error_cases(spark, sf_dir):
+    """Error cases written in order (kind, then nearest to the threshold) and read back with their places."""
+    cases, _ = E.final_errors(final_run(spark, sf_dir)[3])
+    path = _sink(spark, "error-cases")
+    write_ordered(cases.select("series_id", "bar_date", "error_type", "abs_gap_from_threshold"), path, [F.col(c) for c in ERROR_ORDER])
+    return read_ordered(spark, path)
+
+
+@register(
+    "ordered_consistency",
+    _sql(_CONS, """SELECT "column", mean_abs_diff, row_number() OVER (ORDER BY round(mean_abs_diff, 9) DESC NULLS LAST, "column") - 1 AS position FROM cons"""),
+)
+def q_ordered_consistency(spark, sf_dir):
+    """The per-feature report of the two engines, largest difference first (to nine digits), read back with its places."""
+    a, b = _frames(spark, sf_dir)
+    rows = C.feature_consistency(a, b, FEATURE_COLUMNS, names=("dataframe", "sql")).select("column", "mean_abs_diff")
+    path = _sink(spark, "consistency")
+    write_ordered(rows, path, C.consistency_order(9))
+    return read_ordered(spark, path)
+
+
 # ------------------------------------------------------------- run compare
 
 # Names of the compared run metrics.
@@ -260,14 +301,12 @@ _RUNROW = """runrow AS (
 
 
 def _run_sql() -> str:
-    # Both engines build the same nine default features (no volatility), so
-    # the DuckDB side evaluates the chain once and reports it for both.
+    """Both engines' whole chains (sample and population volatility), each to one row of metrics."""
     cols = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in RUN_METRICS)
-    return _sql(
-        _FINAL + [_RUNROW],
-        "SELECT metric, v AS dataframe, v AS sql, v - v AS sql_minus_dataframe FROM "
-        f"(UNPIVOT (SELECT {cols} FROM runrow) ON COLUMNS(*) INTO NAME metric VALUE v)",
-    )
+    unpivot = f"SELECT metric, v FROM (UNPIVOT (SELECT {cols} FROM runrow) ON COLUMNS(*) INTO NAME metric VALUE v)"
+    other = [O.features_cte(ddof=0) if cte == O.features_cte(ddof=1) else cte for cte in _FINAL]
+    a, b = (_sql([*ctes, _RUNROW], unpivot) for ctes in (_FINAL, other))
+    return f"SELECT metric, a.v AS dataframe, b.v AS sql, b.v - a.v AS sql_minus_dataframe FROM ({a}) a JOIN ({b}) b USING (metric)"
 
 
 @register("run_comparison", _run_sql())
@@ -299,3 +338,38 @@ WHERE p.bar_date = (SELECT max(c.bar_date) FROM cut c WHERE c.series_id = p.seri
 def q_signal_export(spark, sf_dir):
     run, fpreds, thr, _ = final_run(spark, sf_dir)
     return P.signal_export(fpreds, thr, model_version="fixture-linear", feature_engine="dataframe")
+
+
+_AT = "p.bar_date = (SELECT max(c.bar_date) FROM cut c WHERE c.series_id = p.series_id AND {until})"
+_RUN = """SELECT p.series_id, p.bar_date AS trade_date, p.up_prob, CAST(p.up_prob >= 0.5::DOUBLE AS INTEGER) AS y_pred, 0.5::DOUBLE AS threshold,
+         p.config_idx, 'fixture-linear' AS model_version, 'dataframe' AS feature_engine,
+         p.bar_date < (SELECT max(c.bar_date) FROM cut c WHERE {until}) AS is_stale, '{run}' AS run_id, false AS is_carried
+  FROM xpreds_all p WHERE p.config_idx = 0 AND p.split = 'test' AND {at}"""
+_EARLY = "c.bar_date < (SELECT max(bar_date) FROM cut) - INTERVAL 30 DAY"
+
+
+@register(
+    "signal_store",
+    _sql(
+        [*_BASE, O.time_split_cte(), O.scaled_cte(FEATS, "tsplit", "series_id", name="xscaled", keep=""),
+         O.scores_cte(FIXTURE_SCORERS, FEATS, "xscaled", "series_id, split, bar_date", name="xpreds_all"),
+         f"one AS ({_RUN.format(run='run-1', until=_EARLY, at=_AT.format(until=_EARLY))})",
+         f"two AS ({_RUN.format(run='run-2', until='true', at=_AT.format(until='true'))})",
+         "good AS (SELECT * FROM two WHERE series_id % 7 <> 0)"],
+        """SELECT * FROM good UNION ALL
+SELECT * REPLACE (true AS is_stale, true AS is_carried) FROM one WHERE series_id NOT IN (SELECT series_id FROM good)""",
+    ),
+)
+def q_signal_store(spark, sf_dir):
+    """Two publishes, 30 days apart; the second lacks a value for every seventh series, which keep their last good signal."""
+    frame = E.eval_frame(training_frame(spark, sf_dir), SPEC)
+    scaled = E.scale_rows(E.split_by_time(frame), FEATS, "series", by=[])
+    scored = E.score_rows(scaled.where(F.col("split") == "test"), FEATS, FIXTURE_SCORERS[:1], keep=["series_id", "split", "bar_date"])
+    scored = materialize(scored)
+    threshold = spark.range(1).select(F.lit(0.5).alias("threshold"))
+    early = scored.where(F.col("bar_date") < F.date_sub(F.lit(scored.agg(F.max("bar_date")).head()[0]), 30))
+    store = SignalStore(spark, _sink(spark, "signals"))
+    export = lambda rows: P.signal_export(rows, threshold, model_version="fixture-linear", feature_engine="dataframe")
+    store.publish(export(early), "run-1")
+    broken = F.when(F.col("series_id") % 7 != 0, F.col("up_prob"))
+    return store.publish(export(scored).withColumn("up_prob", broken), "run-2")

@@ -3,19 +3,24 @@
 from __future__ import annotations
 
 import os
+import uuid
 import zlib
 
 from pyspark.sql import functions as F
 
+from panelcast.operators import features as feat
 from panelcast.operators import splits as SP
 from panelcast.operators.scaling import apply_scaler, fit_scaler
 from panelcast.plans import oracle as O
-from panelcast.plans.registry import panel, register, training_frame
+from panelcast.plans.prepare import prepare
+from panelcast.plans.registry import panel, register
 from panelcast.plans.catalog_eval import _SCALED, FEATS, cut_frame
 from panelcast.schema import DATE, PRICE_COLUMNS, SERIES
-from panelcast.session import ensure_checkpoint_dir
+from panelcast.session import ensure_checkpoint_dir, materialize
 from panelcast.sources import bars as B
+from panelcast.sources import digest as D
 from panelcast.sources import store as ST
+from panelcast.sources.snapshot import Snapshot
 
 
 def raw_text_bars(spark, sf_dir):
@@ -72,15 +77,78 @@ def q_read_csv_snapshot(spark, sf_dir):
     return B.clean_bars(raw, on_duplicate="largest")
 
 
+def _fresh(spark, name: str) -> str:
+    """A folder of its own for one run of a query."""
+    return os.path.join(ensure_checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
+
+
 @register(
     "snapshot_or_rebuild",
     O.with_(O.bars_cte("main"), O.features_cte(ddof=1), O.training_cte()) + "SELECT * FROM train_frame",
 )
 def q_snapshot_or_rebuild(spark, sf_dir):
-    """Processed frame: read the stored snapshot when it covers the columns, else rebuild and store."""
-    path = _scratch(spark, "training_frame", sf_dir)
-    required = [SERIES, DATE, *FEATS, "target_up"]
-    return ST.read_or_build(spark, path, required, lambda: training_frame(spark, sf_dir))
+    """Training frame behind the digest gate, from the snapshot that earlier runs left (recomputed where the source differs)."""
+    bars = materialize(panel(spark, sf_dir))
+    snapshot = Snapshot(spark, _scratch(spark, "snapshot", sf_dir), feat.features_dataframe)
+    return prepare(bars, snapshot, expected=D.digest_tree(D.day_digests(bars)))
+
+
+@register("snapshot_append", O.with_(O.bars_cte("main"), O.features_cte(ddof=1)) + "SELECT * FROM feat")
+def q_snapshot_append(spark, sf_dir):
+    """A snapshot made without the last 60 days, of bars whose 200th last day was wrong, brought up to date: equal to a full build."""
+    bars = materialize(panel(spark, sf_dir))
+    newest = bars.agg(F.max(DATE)).head()[0]
+    early = bars.where(F.col(DATE) < F.date_sub(F.lit(newest), 60))
+    early = early.withColumn("close", F.when(F.col(DATE) == F.date_sub(F.lit(newest), 200), F.col("close") + 1).otherwise(F.col("close")))
+    snapshot = Snapshot(spark, _fresh(spark, "snapshot"), feat.features_dataframe)
+    snapshot.refresh(early)
+    return snapshot.refresh(bars)
+
+
+_ROW_DIGEST = """CAST('0x' || md5(concat_ws('|', CAST(series_id AS VARCHAR), CAST(bar_date AS VARCHAR),
+    CAST(CAST(round(high * 10000) AS BIGINT) AS VARCHAR), CAST(CAST(round(vol * 10000) AS BIGINT) AS VARCHAR)))[1:8] AS BIGINT)"""
+_DIGEST_COLUMNS = [SERIES, DATE, "high", "vol"]
+
+
+@register(
+    "digest_tree",
+    O.with_(O.bars_cte("main"))
+    + f"""SELECT level, node, count(*) AS rows, CAST(sum(d) AS BIGINT) AS digest FROM (
+  SELECT unnest(['table', 'year', 'month', 'day']) AS level,
+         unnest(['', strftime(bar_date, '%Y'), strftime(bar_date, '%Y-%m'), strftime(bar_date, '%Y-%m-%d')]) AS node,
+         {_ROW_DIGEST} AS d FROM bars) GROUP BY level, node""",
+)
+def q_digest_tree(spark, sf_dir):
+    """Digests of the bar panel by day, month, year and as a whole."""
+    return D.digest_tree(D.day_digests(panel(spark, sf_dir), _DIGEST_COLUMNS))
+
+
+@register(
+    "digest_differences",
+    O.with_(O.bars_cte("main"))
+    + """, ends AS (SELECT min(bar_date) AS a, max(bar_date) AS z FROM bars),
+gone AS (SELECT 'day' AS level, strftime(a, '%Y-%m-%d') AS node, 'missing' AS status FROM ends),
+lost AS (
+  SELECT 'month' AS level, strftime(a, '%Y-%m') AS node,
+         CASE WHEN (SELECT count(*) FROM bars WHERE strftime(bar_date, '%Y-%m') = strftime(a, '%Y-%m') AND bar_date > a) = 0 THEN 'missing' ELSE 'changed' END AS status
+  FROM ends UNION ALL
+  SELECT 'year', strftime(a, '%Y'),
+         CASE WHEN (SELECT count(*) FROM bars WHERE year(bar_date) = year(a) AND bar_date > a) = 0 THEN 'missing' ELSE 'changed' END
+  FROM ends),
+more AS (
+  SELECT 'day' AS level, strftime(z, '%Y-%m-%d') AS node, 'changed' AS status FROM ends
+  UNION ALL SELECT 'month', strftime(z, '%Y-%m'), 'changed' FROM ends
+  UNION ALL SELECT 'year', strftime(z, '%Y'), 'changed' FROM ends
+  UNION ALL SELECT 'table', '', 'changed' FROM ends)
+SELECT * FROM gone UNION SELECT * FROM lost UNION SELECT * FROM more""",
+)
+def q_digest_differences(spark, sf_dir):
+    """The panel without its first day and with other volumes on its last, against the whole: what differs, by name."""
+    bars = materialize(panel(spark, sf_dir))
+    ends = bars.agg(F.min(DATE).alias("a"), F.max(DATE).alias("z")).head()
+    other = bars.where(F.col(DATE) > F.lit(ends.a)).withColumn("vol", F.when(F.col(DATE) == F.lit(ends.z), F.col("vol") + 1).otherwise(F.col("vol")))
+    trees = [D.digest_tree(D.day_digests(x, _DIGEST_COLUMNS)) for x in (other, bars)]
+    return D.differences(*trees)
 
 
 @register(
@@ -99,13 +167,11 @@ def q_scaler_roundtrip(spark, sf_dir):
 @register(
     "table_digest",
     O.with_(O.bars_cte("main"))
-    + """SELECT count(*) AS rows, CAST(sum(CAST('0x' || md5(concat_ws('|', CAST(series_id AS VARCHAR), CAST(bar_date AS VARCHAR),
-    CAST(CAST(round(high * 10000) AS BIGINT) AS VARCHAR), CAST(CAST(round(vol * 10000) AS BIGINT) AS VARCHAR)))[1:8] AS BIGINT)) AS BIGINT) AS digest
-FROM bars""",
+    + f"SELECT count(*) AS rows, CAST(sum({_ROW_DIGEST}) AS BIGINT) AS digest FROM bars",
 )
 def q_table_digest(spark, sf_dir):
     """Order-free fingerprint of the bar panel over its exact columns."""
-    return ST.table_fingerprint(panel(spark, sf_dir), ["series_id", "bar_date", "high", "vol"])
+    return ST.table_fingerprint(panel(spark, sf_dir), _DIGEST_COLUMNS)
 
 
 @register("file_digest", None)
@@ -129,8 +195,6 @@ def q_duplicate_bars(spark, sf_dir):
 @register("features_bucketed", O.with_(O.bars_cte("main"), O.features_cte(ddof=1)) + "SELECT * FROM feat")
 def q_features_bucketed(spark, sf_dir):
     """Bars stored once bucketed and sorted by series, then all features with no shuffle."""
-    from panelcast.operators import features as feat
-
     path = _scratch(spark, "bars_bucketed", sf_dir)
     name = "panelcast_bars_" + os.path.basename(path).replace("-", "_")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
