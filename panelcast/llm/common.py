@@ -97,15 +97,22 @@ def held(name: tuple, make):
     return _HELD[name]
 
 
-def _give_back() -> None:
+def _give_back(collect: bool = True) -> None:
     """Return freed memory to the system, where the C library can."""
-    gc.collect()
+    if collect:
+        gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)
 
 
+def tidy() -> None:
+    """At the end of a group in a step that holds no large object: drop the last step's, return freed memory."""
+    _HELD.clear()
+    _give_back(collect=False)
+
+
 def text_bytes(df: DataFrame, text_col: str = "text") -> int:
     return df.agg(F.sum(F.octet_length(text_col))).head()[0] or 0
 
