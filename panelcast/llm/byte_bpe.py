@@ -81,7 +81,7 @@ def splits(left: bytes, right: bytes, ranks: dict[bytes, int]) -> bool:
 class Transducer:
     """Byte pieces to token ids."""
 
-    def __init__(self, ranks: dict[bytes, int], states: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], states: int = 400_000):
         self.ranks, self.states = ranks, states
         # Tokens that merging their own bytes can make; others never come out of BPE.
         self.tokens = {t: i for t, i in ranks.items() if len(t) == 1 or merge(t, ranks) == [t]}
@@ -111,7 +111,7 @@ class Transducer:
         """Whether token b may come right after token a."""
         if a == START:
             return True
-        if len(self.pairs) > 600_000:
+        if len(self.pairs) > 1_500_000:
             self.pairs.clear()
         ok = self.pairs[a, b] = splits(self.bytes[a], self.bytes[b], self.ranks)
         return ok
@@ -243,7 +243,7 @@ class ByteBpe:
         for token, i in ranks.items():
             self.table[i] = token
         self.pieces: dict[str, list[int]] = {}
-        self.pool = Pool(self._encode_units, 300_000)
+        self.pool = Pool(self._encode_units)
         self.space = regex.compile(r"\s")
         self.decimal = [str(i) for i in range(len(self.table))]
 
@@ -253,7 +253,7 @@ class ByteBpe:
         for piece in self.pattern.findall(text):
             ids = known.get(piece)
             if ids is None:
-                if len(known) > 50_000:
+                if len(known) > 400_000:
                     known.clear()
                 ids = known[piece] = self.transducer.encode(piece.encode())
             out += ids
@@ -317,6 +317,11 @@ def vocabulary(path: str, pattern: str) -> ByteBpe:
     return C.held(("byte_bpe", path, pattern), lambda: ByteBpe(read_ranks(path), pattern))
 
 
+def _pieces(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield from C.slices(batch, text_col, 4_000_000)
+
+
 def _streamed(bpe: ByteBpe, ids: list[int]) -> str:
     return "".join(bpe.decode_stream(ids[k : k + 4096] for k in range(0, len(ids), 4096)))
 
@@ -326,17 +331,17 @@ def encode_and_check(df: DataFrame, path: str, pattern: str, id_col: str = "doc_
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path, pattern)
-        for batch in batches:
-            for piece in C.slices(batch, text_col, 2_000_000):
+        for piece in _pieces(batches, text_col):
+            with C.no_cycles():
                 ids, ends = bpe.encode_batch(piece.column(text_col))
                 lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32()))
                 exact = [
                     _streamed(bpe, ids[a:b].tolist()) == (text or "")
                     for a, b, text in zip(ends[:-1].tolist(), ends[1:].tolist(), piece.column(text_col).to_pylist())
                 ]
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column(id_col), pa.array(np.diff(ends)), lists, pa.array(exact, pa.bool_())], names=["id", "n_tokens", "ids", "exact"]
-                )
+            yield pa.RecordBatch.from_arrays(
+                [piece.column(id_col), pa.array(np.diff(ends)), lists, pa.array(exact, pa.bool_())], names=["id", "n_tokens", "ids", "exact"]
+            )
 
     kind = df.schema[id_col].dataType.simpleString()
     out = df.select(id_col, text_col).mapInArrow(encode, f"id {kind}, n_tokens long, ids array<int>, exact boolean")
@@ -352,8 +357,8 @@ def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path, pattern)
         name = bpe.decimal.__getitem__
-        for batch in batches:
-            for piece in C.slices(batch, text_col, 2_000_000):
+        for piece in _pieces(batches, text_col):
+            with C.no_cycles():
                 ids, ends = bpe.encode_batch(piece.column(text_col))
                 texts = piece.column(text_col).to_pylist()
                 listed, sha_ids, sha_out, exact = ids.tolist(), [], [], []
@@ -363,10 +368,10 @@ def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
                     decoded = _streamed(bpe, own)
                     sha_out.append(hashlib.sha256(decoded.encode()).hexdigest())
                     exact.append(decoded == (text or ""))
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column(id_col), pa.array(np.diff(ends), pa.int64()), pa.array(sha_ids, pa.string()), pa.array(sha_out, pa.string()), pa.array(exact, pa.bool_())],
-                    names=["id", "n_tokens", "ids_sha256", "decoded_sha256", "exact"],
-                )
+            yield pa.RecordBatch.from_arrays(
+                [piece.column(id_col), pa.array(np.diff(ends), pa.int64()), pa.array(sha_ids, pa.string()), pa.array(sha_out, pa.string()), pa.array(exact, pa.bool_())],
+                names=["id", "n_tokens", "ids_sha256", "decoded_sha256", "exact"],
+            )
 
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string, exact boolean"

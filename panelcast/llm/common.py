@@ -10,6 +10,7 @@ from __future__ import annotations
 import ctypes
 import gc
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -107,6 +108,18 @@ def _give_back(collect: bool = True) -> None:
         trim(0)
 
 
+@contextmanager
+def no_cycles() -> Iterator[None]:
+    """While a memo of millions of acyclic objects grows: no passes of the cycle collector over all of them."""
+    was = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was:
+            gc.enable()
+
+
 def tidy() -> None:
     """At the end of a group in a step that holds no large object: drop the last step's, return freed memory."""
     _HELD.clear()

@@ -187,7 +187,8 @@ def count_tokens(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         model = vocabulary(path)
         for batch in batches:
             for piece in C.slices(batch, text_col):
-                n = model.count_batch(piece.column(text_col))
+                with C.no_cycles():
+                    n = model.count_batch(piece.column(text_col))
                 yield pa.RecordBatch.from_arrays([piece.column(id_col), pa.array(n[:, 0]), pa.array(n[:, 1])], names=["id", "n_tokens", "n_fallback"])
 
     kind = df.schema[id_col].dataType.simpleString()

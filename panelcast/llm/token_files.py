@@ -27,6 +27,7 @@ file and gives no rows.  Only the id and text columns are read.
 
 from __future__ import annotations
 
+import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -224,13 +225,8 @@ def _holds(word: str, special: tuple[str, ...]) -> bool:
     return any(s in word for s in special)
 
 
-def _halves(word: str, special: tuple[str, ...]) -> tuple[str, str]:
-    """A word as stem and closing marks, if the tokenizer splits there; ASCII stems in lower case, as it makes them.
-
-    What holds a special string, or would in lower case, stays as it is.
-    """
-    if _holds(word.lower(), special):
-        return word, ""
+def _halves(word: str) -> tuple[str, str]:
+    """A word as stem and closing marks, if the tokenizer splits there; ASCII stems in lower case, as it makes them."""
     stem = word.rstrip(_TAIL)
     # The last character as the normaliser leaves it: a mark split off it would join what follows.
     last = stem[-1:] if stem.isascii() else unicodedata.normalize("NFC", stem[-1:]).lower()[-1:]
@@ -244,7 +240,11 @@ def encode_words(text: pa.Array, pool: Pool, special: tuple[str, ...]) -> tuple[
     words = pc.ascii_split_whitespace(text.cast(pa.large_string()).fill_null(""))
     rows = words.offsets.to_numpy() - words.offsets[0].as_py()
     coded = words.flatten().dictionary_encode()
-    halves = [_halves(w, special) for w in coded.dictionary.to_pylist()]
+    halves = list(map(_halves, coded.dictionary.to_pylist()))
+    if special:  # what holds a special string, or would in lower case, stays as it is
+        pattern = "|".join(map(re.escape, special))
+        for k in np.flatnonzero(pc.match_substring_regex(coded.dictionary, pattern, ignore_case=True).to_numpy(zero_copy_only=False)):
+            halves[k] = (coded.dictionary[int(k)].as_py(), "")
     units: dict[str, int] = {}
     at = np.array([[units.setdefault(h, len(units)) for h in pair] for pair in halves], np.int64).reshape(-1, 2)
     places = pool.find(list(units))[at] if units else at
@@ -278,7 +278,8 @@ def write_corpus(
                 if writer is None:
                     where, name, out = _open(f"{final}.{task.taskAttemptId()}.tmp", "w")
                     writer = Writer(out, bits_for(max(size, end + 1)))
-                ids, rows = encode_words(piece.column("t"), pool, special)
+                with C.no_cycles():
+                    ids, rows = encode_words(piece.column("t"), pool, special)
                 closed = np.insert(ids, rows[1:], end)
                 known = pc.is_valid(piece.column("i")).to_numpy(zero_copy_only=False).astype(np.uint8)
                 writer.add(piece.column("i").fill_null(0).to_numpy(), known, np.diff(rows) + 1, closed)
