@@ -153,37 +153,49 @@ def score_histogram(
     )
 
 
+#: Most score bands of ``roc_auc``: their cut points become one expression.
+MOST_BANDS = 256
+
+
+def _band(score: Column, cuts: list[float]) -> Column:
+    """Number of cut points at or below the score, by halving."""
+
+    def among(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(score < F.lit(cuts[mid]), among(lo, mid)).otherwise(among(mid + 1, hi))
+
+    return among(0, len(cuts))
+
+
 def roc_auc(
     preds: DataFrame, by: list[str], prob_col: str = "up_prob", label_col: str = "y_true", parts: int | None = None
 ) -> DataFrame:
     """Exact ROC AUC per group; ties count one half; NULL when a class is missing.
 
     AUC * P * N = sum over distinct scores s of pos(s) * (neg below s + neg(s)/2).
-    The distinct scores are range-partitioned on (group, score); within each
-    range partition a running window gives the negatives below each score
-    inside the partition, and one aggregate per (group, partition) returns
-    its positives, negatives and local sum.  The negatives of the earlier
-    partitions of a group (a running sum over a table of at most
-    groups + partitions rows) complete the count.  Everything flows from one
-    range exchange in one branch, so partition ids are consistent without
-    materialising anything; every term is an integer or a half, so the sum is
-    exact in any order.
+    A quantile sketch of the scores (one pass, no shuffle of scores) gives cut
+    points, and a score's band is the number of cut points at or below it.  Equal
+    scores are counted first (exchange 1), then hashed by (group, band), where a
+    running window gives the negatives below each score inside the band
+    (exchange 2).  One aggregate per (group, band) returns positives, negatives and
+    the local sum; the negatives of the lower bands of a group (a running sum over
+    groups x bands rows) complete the count.  Cut points only balance the bands:
+    every term is an integer or a half, so the sum is exact whatever they are.
     """
     spark = preds.sparkSession
-    n_parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hist = score_histogram(preds, by, prob_col, label_col)
-    ranged = hist.repartitionByRange(n_parts, *[F.col(c) for c in by], F.col("score")).withColumn(
-        "_pid", F.spark_partition_id()
-    )
-    inside = Window.partitionBy(*by, "_pid").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
-    local = ranged.withColumn("_nb", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
+    n_bands = min(MOST_BANDS, parts or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    marks = [k / n_bands for k in range(1, n_bands)]
+    cuts = preds.agg(F.percentile_approx(F.col(prob_col).cast("double"), F.array(*map(F.lit, marks)), F.lit(1000))).head()[0] if marks else []
+    hist = score_histogram(preds, by, prob_col, label_col).withColumn("_band", _band(F.col("score"), sorted(set(cuts or []))))
+    inside = Window.partitionBy(*by, "_band").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    local = hist.withColumn("_nb", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
     term = F.col("pos").cast("double") * (F.col("_nb").cast("double") + F.col("neg").cast("double") / 2.0)
-    per_part = local.groupBy(*by, "_pid").agg(
-        F.sum("pos").alias("_pp"), F.sum("neg").alias("_pn"), F.sum(term).alias("_pl")
-    )
-    earlier = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    per_part = per_part.withColumn("_off", F.coalesce(F.sum("_pn").over(earlier), F.lit(0)))
-    agg = per_part.groupBy(*by).agg(
+    per_band = local.groupBy(*by, "_band").agg(F.sum("pos").alias("_pp"), F.sum("neg").alias("_pn"), F.sum(term).alias("_pl"))
+    earlier = Window.partitionBy(*by).orderBy("_band").rowsBetween(Window.unboundedPreceding, -1)
+    per_band = per_band.withColumn("_off", F.coalesce(F.sum("_pn").over(earlier), F.lit(0)))
+    agg = per_band.groupBy(*by).agg(
         F.sum(F.col("_pl") + F.col("_off").cast("double") * F.col("_pp").cast("double")).alias("_u"),
         F.sum("_pp").alias("_p"),
         F.sum("_pn").alias("_n"),
