@@ -24,8 +24,9 @@ def confusion(
     threshold: Column | float | str,
     prob_col: str = "up_prob",
     label_col: str = "y_true",
+    more: tuple[Column, ...] = (),
 ) -> DataFrame:
-    """TN / FP / FN / TP per group at ``prob >= threshold`` (labels 0 and 1)."""
+    """TN / FP / FN / TP per group at ``prob >= threshold`` (labels 0 and 1), and aggregates ``more`` of the same pass."""
     thr = F.col(threshold) if isinstance(threshold, str) else threshold
     y = F.col(label_col)
     p = predict_class(F.col(prob_col), thr)
@@ -38,6 +39,7 @@ def confusion(
         n((y == 0) & (p == 1)).alias("fp"),
         n((y == 1) & (p == 0)).alias("fn"),
         n((y == 1) & (p == 1)).alias("tp"),
+        *more,
     )
 
 

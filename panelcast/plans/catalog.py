@@ -38,6 +38,27 @@ def q_extract_bounded(spark, sf_dir):
     return B.extract_bounded(panel(spark, sf_dir), None, "1996/01/01", "19991231", [SERIES, DATE, "close", "vol"])
 
 
+@register(
+    "extract_series",
+    O.with_(O.bars_cte("main"))
+    + "SELECT series_id, bar_date, open, pct_chg FROM bars WHERE series_id IN (2, 3, 5, 7, 11) AND bar_date BETWEEN DATE '1995-02-01' AND DATE '1998-03-31'",
+)
+def q_extract_series(spark, sf_dir):
+    return B.extract_bounded(panel(spark, sf_dir), [2, 3, 5, 7, 11], "1995-2-1", "1998-03-31", [SERIES, DATE, "open", "pct_chg"])
+
+
+@register(
+    "label_tail_drop",
+    O.with_(O.bars_cte("main"))
+    + """SELECT series_id, bar_date, CAST(ahead > close AS INTEGER) AS target_up
+FROM (SELECT series_id, bar_date, close, lead(close) OVER (PARTITION BY series_id ORDER BY bar_date) AS ahead FROM bars) WHERE ahead IS NOT NULL""",
+)
+def q_label_tail_drop(spark, sf_dir):
+    """Labels with the last bar of a series, which has no next close, left out."""
+    labelled = feat.build_features(panel(spark, sf_dir), label_tail="drop")
+    return feat.finalize(labelled, ["close"]).select(SERIES, DATE, "target_up")
+
+
 # ----------------------------------------------------------------- features
 
 _ORACLE_FEAT = O.with_(O.bars_cte("main"), O.features_cte(ddof=1))

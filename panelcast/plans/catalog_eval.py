@@ -8,6 +8,8 @@ independent DuckDB statement.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from panelcast.operators import metrics as M
@@ -50,7 +52,7 @@ def tuned(spark, sf_dir):
     """Candidates, per-fold choice and fold results from the tuning inputs."""
     frame, preds = tuning(spark, sf_dir)
     cands = materialize(E.config_candidates(preds, SPEC))
-    choice = E.fold_choice(cands, SPEC)
+    choice = materialize(E.fold_choice(cands, SPEC))
     return frame, preds, cands, choice
 
 
@@ -270,6 +272,32 @@ def q_short_series(spark, sf_dir):
     return report.where(F.col("reason").isNotNull())
 
 
+# ------------------------------------------------------------- other goals
+
+
+@register(
+    "threshold_goals",
+    _sql(
+        _PREDS
+        + [
+            O.sweep_cte("preds", ["fold_id", "config_idx"], TUNE.grid, 1.0, 0.56, 0.62, 1.2, name="sweep_f1"),
+            O.pick_cte("sweep_f1", ["fold_id", "config_idx"], "score", "threshold", "f1", "k", 0.01, 0.5, "best_f1"),
+            O.sweep_cte("preds", ["fold_id", "config_idx"], TUNE.grid, 2.0, 0.56, 0.62, 1.2, name="sweep_f2"),
+            O.pick_cte("sweep_f2", ["fold_id", "config_idx"], "score", "threshold", "f1", "k", 0.01, 0.5, "best_f2"),
+        ],
+        "\nUNION ALL\n".join(
+            f"SELECT fold_id, config_idx, threshold AS best_threshold, score AS val_score_best, f1 AS val_f1_best, '{g}' AS threshold_goal FROM best_{g}"
+            for g in ("f1", "f2")
+        ),
+    ),
+)
+def q_threshold_goals(spark, sf_dir):
+    """Thresholds tuned for the goals that are not the default."""
+    _, preds = tuning(spark, sf_dir)
+    first, second = (E.config_candidates(preds, replace(SPEC, tune=replace(TUNE, goal=g))) for g in ("f1", "f2"))
+    return first.unionByName(second)
+
+
 # --------------------------------------------------------------- sequences
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -104,6 +105,38 @@ def q_final_metrics(spark, sf_dir):
     return E.final_metrics(final_run(spark, sf_dir)[3], BETA)
 
 
+@register(
+    "final_record",
+    _sql(
+        _FINAL,
+        """SELECT m.*, t.val_best_threshold, t.rolling_threshold_median, t.threshold_source, 'f0.5' AS threshold_goal, 0.5::DOUBLE AS threshold_beta,
+       0.3::DOUBLE AS grid_lo, 0.7::DOUBLE AS grid_hi, 0.01::DOUBLE AS grid_step, 0.01::DOUBLE AS threshold_eps,
+       0.5::DOUBLE AS threshold_anchor, 0.001::DOUBLE AS config_eps, 0.56::DOUBLE AS min_precision, 0.62::DOUBLE AS min_recall,
+       1.2::DOUBLE AS floor_penalty, 0.2::DOUBLE AS config_std_penalty, 0.12::DOUBLE AS config_threshold_penalty,
+       'val' AS final_mode, 'none' AS calibration
+FROM fmetrics m, fthr t""",
+    ),
+)
+def q_final_record(spark, sf_dir):
+    """Final metrics with the settings that led to them."""
+    _, _, thr, test = final_run(spark, sf_dir)
+    return E.final_record(E.final_metrics(test, BETA), thr, SPEC)
+
+
+@register(
+    "final_threshold_rolling",
+    _sql(
+        _FINAL,
+        "SELECT val_best_threshold, val_score_best, val_f1_at_best, rolling_threshold_median, "
+        "rolling_threshold_median AS threshold, 'rolling_median' AS threshold_source FROM fthr",
+    ),
+)
+def q_final_threshold_rolling(spark, sf_dir):
+    """The final threshold taken from the folds instead of the validation part."""
+    run, fpreds, _, _ = final_run(spark, sf_dir)
+    return E.final_threshold_row(fpreds, run.folds, replace(SPEC, tune=replace(TUNE, final_mode="rolling_median")))
+
+
 @register(
     "error_cases",
     _sql(

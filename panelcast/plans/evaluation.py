@@ -162,12 +162,28 @@ def final_test_predictions(final_preds: DataFrame, thr_row: DataFrame) -> DataFr
 
 
 def final_metrics(test_preds: DataFrame, beta: float) -> DataFrame:
-    """Test metrics at the final threshold; ``fbeta`` is that of the tuning goal."""
-    rates = M.classification_metrics(test_preds, [], "threshold", beta=beta)
+    """Test metrics at the final threshold; ``fbeta`` is that of the tuning goal.
+
+    Everything but the AUC comes from one aggregate over the test rows.
+    """
+    gap = F.col("up_prob") - F.col("y_true").cast("double")
+    more = (F.avg(gap * gap).alias("brier_score"), F.count(F.lit(1)).alias("sample_count"), F.max("threshold").alias("threshold"))
+    rates = M.with_rates(M.confusion(test_preds, [], "threshold", more=more), beta)
     auc = M.roc_auc(test_preds.withColumn("_g", F.lit(0)), ["_g"]).drop("_g", "positives", "negatives")
-    brier = M.brier(test_preds.withColumn("_g", F.lit(0)), ["_g"]).drop("_g")
-    thr = test_preds.agg(F.max("threshold").alias("threshold"))
-    return combine_rows(rates, auc, brier, thr)
+    return combine_rows(rates, auc)
+
+
+def final_record(metrics: DataFrame, thr_row: DataFrame, spec: EvalSpec = EvalSpec(), calibration: str = "none") -> DataFrame:
+    """Final metrics with how the threshold was found: goal, grid, tolerances, floors, penalties, source."""
+    tune, grid = spec.tune, spec.tune.grid
+    settings = {
+        "threshold_goal": tune.goal, "threshold_beta": tune.effective_beta, "grid_lo": grid.lo, "grid_hi": grid.hi, "grid_step": grid.step,
+        "threshold_eps": tune.thr_eps, "threshold_anchor": tune.anchor, "config_eps": tune.cfg_eps, "min_precision": tune.min_precision,
+        "min_recall": tune.min_recall, "floor_penalty": tune.penalty, "config_std_penalty": tune.cfg_std_pen,
+        "config_threshold_penalty": tune.cfg_thr_pen, "final_mode": tune.final_mode, "calibration": calibration,
+    }
+    both = combine_rows(metrics, thr_row.select("val_best_threshold", "rolling_threshold_median", "threshold_source"))
+    return both.withColumns({name: F.lit(value) for name, value in settings.items()})
 
 
 def final_errors(test_preds: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -217,7 +233,7 @@ def rolling_run(training: DataFrame, spec: EvalSpec = EvalSpec(), scorers: list[
     # Small (folds x configs rows) but built from the whole prediction table and
     # read by the choice, the stability score and the final threshold.
     cands = materialize(config_candidates(preds, spec))
-    choice = fold_choice(cands, spec)
+    choice = materialize(fold_choice(cands, spec))  # one row per fold, read twice
     folds = materialize(fold_results(preds, choice, spec, sizes_from=fold_membership(frame, spec.folds)))
     stab = S.config_stability(cands, spec.tune)
     best = S.best_config(stab)
