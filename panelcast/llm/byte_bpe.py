@@ -111,7 +111,7 @@ class Transducer:
         """Whether token b may come right after token a."""
         if a == START:
             return True
-        if len(self.pairs) > 1_500_000:
+        if len(self.pairs) > 5 * self.states:
             self.pairs.clear()
         ok = self.pairs[a, b] = splits(self.bytes[a], self.bytes[b], self.ranks)
         return ok
@@ -234,16 +234,20 @@ class Utf8Stream:
 
 
 class ByteBpe:
-    """Texts to ids and back with one vocabulary; pieces are split off by ``pattern``."""
+    """Texts to ids and back with one vocabulary; pieces are split off by ``pattern``.
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    ``memo`` bounds what is remembered (pieces, units, states); it changes time only.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str, memo: int = 400_000):
         self.pattern = regex.compile(pattern)
-        self.transducer = Transducer(ranks)
+        self.memo = memo
+        self.transducer = Transducer(ranks, memo)
         self.table = np.full(max(ranks.values()) + 1, b"", dtype=object)
         for token, i in ranks.items():
             self.table[i] = token
         self.pieces: dict[str, list[int]] = {}
-        self.pool = Pool(self._encode_units)
+        self.pool = Pool(self._encode_units, memo * 5 // 4)
         self.space = regex.compile(r"\s")
         self.decimal = [str(i) for i in range(len(self.table))]
 
@@ -253,7 +257,7 @@ class ByteBpe:
         for piece in self.pattern.findall(text):
             ids = known.get(piece)
             if ids is None:
-                if len(known) > 400_000:
+                if len(known) > self.memo:
                     known.clear()
                 ids = known[piece] = self.transducer.encode(piece.encode())
             out += ids
@@ -313,8 +317,8 @@ class ByteBpe:
         yield stream.end()
 
 
-def vocabulary(path: str, pattern: str) -> ByteBpe:
-    return C.held(("byte_bpe", path, pattern), lambda: ByteBpe(read_ranks(path), pattern))
+def vocabulary(path: str, pattern: str, memo: int = 400_000) -> ByteBpe:
+    return C.held(("byte_bpe", path, pattern, memo), lambda: ByteBpe(read_ranks(path), pattern, memo))
 
 
 def _pieces(batches: Iterator[pa.RecordBatch], text_col: str) -> Iterator[pa.RecordBatch]:
@@ -326,11 +330,14 @@ def _streamed(bpe: ByteBpe, ids: list[int]) -> str:
     return "".join(bpe.decode_stream(ids[k : k + 4096] for k in range(0, len(ids), 4096)))
 
 
-def encode_and_check(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id_col, n_tokens, ids array<int>, exact`` for every row; ``exact``: decoding the ids gives the text again."""
+def encode_and_check(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", memo: int = 100_000) -> DataFrame:
+    """``id_col, n_tokens, ids array<int>, exact`` for every row; ``exact``: decoding the ids gives the text again.
+
+    ``memo`` is small, because the rows' ids fill the executor's memory beside it.
+    """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = vocabulary(path, pattern)
+        bpe = vocabulary(path, pattern, memo)
         for piece in _pieces(batches, text_col):
             with C.no_cycles():
                 ids, ends = bpe.encode_batch(piece.column(text_col))
