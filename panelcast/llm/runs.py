@@ -13,7 +13,9 @@ steps are Spark jobs over groups of texts (hash of id and text, about
    grouping by window hash marks each window that also starts earlier;
 3. a cogroup of texts and marked windows gives the items that they cover.
 
-Items travel as packed arrays, one row per (group, hash bucket).  A key that
+Items travel as packed arrays, one row per (group, hash bucket).  There are as many
+buckets as groups, so a bucket's size stays the same however large the input; a
+group has rows only for the buckets of its keys, at most one a key.  A key that
 repeats inside a group is settled there and sent once, so a passage that a
 third of all texts share costs one entry per group, not one per text.  No
 pairs of texts are formed.  The texts' exchange is the same in all three steps,
@@ -34,8 +36,6 @@ from pyspark.sql import functions as F
 from panelcast.llm import common as C
 
 GROUP_BYTES = 4 << 20
-#: More key buckets than this would make the packed arrays too short to be worth packing.
-MOST_BUCKETS = 20_000
 
 _LAST = np.iinfo(np.int64).max
 _FLAGS = "g int, r binary, p binary"
@@ -165,15 +165,14 @@ def repeated_keys(texts: DataFrame, emit: Callable[[pa.Table], pa.Table], bucket
 
 def shared_anchors(texts: DataFrame, groups: int, items: Items) -> DataFrame:
     """Positions (``g, r, p``: group, row, item) of anchors that occur more than once."""
-    buckets = min(groups, MOST_BUCKETS)
 
     def emit(table: pa.Table) -> pa.Table:
         table = in_order(table)
         rows, h = items.cut(table.column("t"))[3:5]
         index, keys = items.anchors(h, rows)
-        return packed_keys(settle_locally(table.column("g")[0].as_py(), keys, *_place(index, rows), buckets))
+        return packed_keys(settle_locally(table.column("g")[0].as_py(), keys, *_place(index, rows), groups))
 
-    return repeated_keys(texts, emit, buckets)
+    return repeated_keys(texts, emit, groups)
 
 
 def _send_windows(g: int, keys: np.ndarray, second: np.ndarray, ids: np.ndarray, r: np.ndarray, p: np.ndarray, buckets: int, within: bool) -> pa.Table:
@@ -221,7 +220,7 @@ def _settle_windows(buckets: int, within: bool) -> Callable[[pa.Table], pa.Table
 
 def repeated_windows(texts: DataFrame, groups: int, items: Items) -> DataFrame:
     """Starts (``g, r, p``) of the windows that also start at an earlier place."""
-    buckets, length, back = min(groups, MOST_BUCKETS), items.length, items.length - items.span
+    buckets, length, back = groups, items.length, items.length - items.span
 
     def emit(table: pa.Table, flags: pa.Table) -> pa.Table:
         if not table.num_rows or not flags.num_rows:
@@ -249,7 +248,7 @@ def repeated_windows(texts: DataFrame, groups: int, items: Items) -> DataFrame:
 
 def repeated_short_windows(texts: DataFrame, groups: int, items: Items) -> DataFrame:
     """Like ``repeated_windows``, of the shorter windows that ``items.short`` names; ``p`` is start * length + items - 1."""
-    buckets = min(groups, MOST_BUCKETS)
+    buckets = groups
 
     def emit(table: pa.Table) -> pa.Table:
         table = in_order(table)
