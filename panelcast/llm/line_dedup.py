@@ -125,30 +125,6 @@ def remove_repeated_lines(
 _SQL = """
 WITH t AS (SELECT doc_id, str_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
 a AS (SELECT doc_id, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS k FROM t),
-l AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS p FROM a
-      WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
-w AS (SELECT doc_id, p, md5(line || chr(10) || lead(line, 1) OVER o || chr(10) || lead(line, 2) OVER o) AS h
-      FROM l WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
-f AS (SELECT doc_id, p, row_number() OVER (PARTITION BY h ORDER BY doc_id, p) AS turn FROM w WHERE h IS NOT NULL),
-g AS (SELECT DISTINCT doc_id, unnest(range(p, p + 3)) AS p FROM f WHERE turn > 1),
-n AS (SELECT l.doc_id, count(*) AS n_lines, count(g.p) AS n_removed FROM l LEFT JOIN g USING (doc_id, p) GROUP BY 1),
-s AS (SELECT a.doc_id, string_agg(a.line, chr(10) ORDER BY a.k) AS kept
-      FROM a LEFT JOIN l ON l.doc_id = a.doc_id AND l.k = a.k LEFT JOIN g ON g.doc_id = l.doc_id AND g.p = l.p
-      WHERE g.p IS NULL GROUP BY 1)
-SELECT t.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
-FROM t LEFT JOIN n USING (doc_id) LEFT JOIN s USING (doc_id)
-"""
-
-
-@query("op1_line_dedup", _SQL)
-def op1_line_dedup(spark, sf_dir):
-    out = remove_repeated_lines(C.documents(spark, sf_dir))
-    return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
-
-
-_SHORT_SQL = """
-WITH t AS (SELECT doc_id, str_split(coalesce(text, ''), chr(10)) AS parts FROM documents),
-a AS (SELECT doc_id, unnest(parts) AS line, unnest(range(1, len(parts) + 1)) AS k FROM t),
 l AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY k) AS p FROM a
       WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
 c AS (SELECT *, len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS words, count(*) OVER (PARTITION BY doc_id) AS own FROM l),
@@ -168,8 +144,8 @@ FROM t LEFT JOIN n USING (doc_id) LEFT JOIN s USING (doc_id)
 """
 
 
-@query("op1_line_dedup_short", _SHORT_SQL)
-def op1_line_dedup_short(spark, sf_dir):
-    """Like ``op1_line_dedup``, with long runs of one or two lines and whole short texts."""
+@query("op1_line_dedup", _SQL)
+def op1_line_dedup(spark, sf_dir):
+    """Runs of three lines, and shorter ones of 50 words or that are a whole text."""
     out = remove_repeated_lines(C.documents(spark, sf_dir), min_words=MIN_WORDS)
     return out.select("doc_id", "n_lines", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
