@@ -274,7 +274,7 @@ def write_corpus(
         pool, size, special = word_encoder(vocabulary)
         writer = where = out = name = None
         for batch in batches:
-            for piece in C.slices(batch, "t"):
+            for piece in C.slices(batch, "t", 12_000_000):
                 if writer is None:
                     where, name, out = _open(f"{final}.{task.taskAttemptId()}.tmp", "w")
                     writer = Writer(out, bits_for(max(size, end + 1)))
