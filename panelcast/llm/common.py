@@ -49,6 +49,7 @@ def scratch_dir(spark: SparkSession) -> str:
 _WHILE_WRITING = {
     "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
 }
 
 
