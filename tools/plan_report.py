@@ -26,7 +26,7 @@ NODES = [
     ("BroadcastHashJoin", r"\bBroadcastHashJoin"),
     ("BroadcastNestedLoopJoin", r"\bBroadcastNestedLoopJoin"),
     ("CartesianProduct", r"\bCartesianProduct"),
-    ("Python UDF", r"BatchEvalPython|ArrowEvalPython|MapInPandas|FlatMapGroupsInPandas"),
+    ("Python UDF", r"BatchEvalPython|ArrowEvalPython|MapInPandas|MapInArrow|FlatMapGroupsIn"),
     ("Scan parquet", r"FileScan parquet|Scan parquet"),
     ("Scan checkpoint", r"Scan ExistingRDD|ExistingRDD"),
 ]
@@ -38,7 +38,7 @@ def main() -> None:
     spark = local_session(8)
     print("# Physical plans of the registered queries\n")
     print(f"Operator counts in the physical plan Spark chooses before execution ({sf_dir}, AQE on).")
-    print("Upstream intermediates that a query materialises appear as checkpoint scans.\n")
+    print("Upstream intermediates that a query materialises appear as Parquet scans.\n")
     print("| query | " + " | ".join(n for n, _ in NODES) + " |")
     print("| --- | " + " | ".join("---" for _ in NODES) + " |")
     for name in names:
