@@ -70,3 +70,23 @@ def test_final_predictions_fail_when_no_config_qualifies(spark):
     empty_best = spark.createDataFrame([], "config_idx int")
     with pytest.raises(Exception, match="no candidate"):
         E.final_predictions(frame, empty_best)
+
+
+def test_run_comparison_of_whole_runs(spark):
+    """Two records made of several scalar subqueries over predictions are compared in one plan."""
+    from panelcast.plans import evaluation as E
+
+    def record(shift):
+        rows = [("s", "test", D + dt.timedelta(i), 0, i % 2, 0.0, ((i * 7 + shift) % 20) / 20.0) for i in range(20)]
+        preds = spark.createDataFrame(rows, "series_id string, split string, bar_date date, config_idx int, y_true int, logit double, up_prob double")
+        test = E.final_test_predictions(preds, spark.createDataFrame([(0.5,)], "threshold double"))
+        return C.combine_rows(
+            E.final_metrics(test, 0.5).select("f1", "roc_auc", "brier_score"),
+            E.final_errors(test)[1].select("false_positive_count", "near_threshold_error_rate"),
+        )
+
+    metrics = ["f1", "roc_auc", "brier_score", "false_positive_count", "near_threshold_error_rate"]
+    want = [record(shift).first() for shift in (0, 3)]
+    got = {r["metric"]: r for r in C.run_comparison(record(0), record(3), metrics, ("p", "q")).collect()}
+    assert sorted(got) == sorted(metrics)
+    assert all((got[m]["p"], got[m]["q"]) == (want[0][m], want[1][m]) for m in metrics)
