@@ -163,3 +163,17 @@ def test_sequence_model_reports_its_losses(training):
     row = run.metrics.first()
     assert row["train_loss_last"] > 0 and row["val_loss_best"] > 0 and row["iterations"] <= 5
     assert run.predictions.count() == row["sequence_samples"]["test"]
+
+
+def test_rows_are_packed_once_for_tuning_and_refit(training, monkeypatch):
+    """The refit learns from the rows that tuning left on the cluster."""
+    from panelcast.operators import perceptron as P
+
+    made, ready = [], P.ready
+    monkeypatch.setattr(P, "ready", lambda blocks: made.append(ready(blocks)) or made[-1])
+    run = MD.rolling_mlp(training, E.EvalSpec(), MD.MLP_GRID[3:], QUICK)
+    assert len(made) == 1
+    MD.final_mlp(training, MD.MLP_GRID[3], run.fold_rows, E.EvalSpec(), QUICK)
+    assert len(made) == 2
+    MD.fit_for_latest(training, E.EvalSpec(), MD.MLP_GRID[3], QUICK)
+    assert len(made) == 3 and not any(rows.getStorageLevel().useMemory for rows, _ in made)
