@@ -60,3 +60,17 @@ def test_features_on_bucketed_panel_plan_without_exchange(spark, lineitem):
     plan = _plan(catalog.REGISTRY["features_bucketed"][0](spark, SF))
     assert "Bucketed: true" in plan
     assert not re.findall(r"Exchange hashpartitioning", plan)
+
+
+def test_rows_are_dealt_before_any_is_sorted(spark, tmp_path):
+    """A task that reads a split of the source sorts none of it; bars are those of all rows."""
+    rows = spark.range(400).selectExpr(
+        "id % 7 as l_suppkey", "id as l_orderkey", "int(id % 3) as l_linenumber", "timestamp(date_add(date'2020-01-01', int(id % 20))) as l_shipdate",
+        "double(id) as l_extendedprice", "1d as l_quantity",
+    )
+    rows.write.parquet(f"{tmp_path}/lineitem.parquet")
+    bars = B.bars_from_lineitem(spark.read.parquet(f"{tmp_path}/lineitem.parquet"))
+    lines = _plan(bars).splitlines()
+    dealt = max(k for k, line in enumerate(lines) if "Exchange" in line)
+    assert not any("Sort" in line for line in lines[dealt:])
+    assert bars.count() == 140 and bars.agg({"vol": "sum"}).head()[0] == 400
