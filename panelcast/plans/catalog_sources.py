@@ -13,8 +13,8 @@ from panelcast.operators import splits as SP
 from panelcast.operators.scaling import apply_scaler, fit_scaler
 from panelcast.plans import oracle as O
 from panelcast.plans.prepare import prepare
-from panelcast.plans.registry import panel, panel_buckets, register
-from panelcast.plans.catalog_eval import _SCALED, FEATS, cut_frame
+from panelcast.plans.registry import panel, register
+from panelcast.plans.catalog_eval import _SCALED, FEATS, stored_frame
 from panelcast.schema import DATE, PRICE_COLUMNS, SERIES
 from panelcast.session import ensure_checkpoint_dir, materialize
 from panelcast.sources import bars as B
@@ -158,7 +158,7 @@ def q_digest_differences(spark, sf_dir):
 def q_scaler_roundtrip(spark, sf_dir):
     """Scaler fitted on train rows, stored as Parquet, reloaded and applied to every split."""
     # Read by the fit and by its application, both per series: stored once, in buckets that either keeps.
-    frame = materialize(cut_frame(spark, sf_dir), bucket_by=[SERIES], buckets=panel_buckets(spark, sf_dir))
+    frame = stored_frame(spark, sf_dir)
     folded = SP.fold_membership(frame)
     path = _scratch(spark, "scaler", sf_dir)
     ST.write_table(fit_scaler(folded, FEATS, "series", by=["fold_id"]), path)

@@ -1,8 +1,12 @@
 """A stored scaler applied to rows: same values as scaling in place, and no shuffle of the rows."""
 
+import datetime as dt
+
 import pytest
 
-from panelcast.operators.scaling import apply_scaler, fit_scaler
+from panelcast.operators.scaling import apply_scaler, fit_scaler, scale_rows, scale_stored_rows
+from panelcast.operators.splits import FoldSpec, fold_membership, split_by_time, with_positions
+from panelcast.plans import evaluation as E
 
 ROWS = [(s, f, p, float(s * 10 + k * (f + 1)), float(k % 2)) for s in (1, 2, 3) for f in (1, 2) for k, p in enumerate(["train"] * 4 + ["val", "test"])]
 SCHEMA = "series_id int, fold_id int, split string, a double, b double"
@@ -53,3 +57,34 @@ def test_rows_stay_in_their_partitioning(spark, rows):
     assert plan.count("REPARTITION_BY_NUM") == 1
     of_rows = plan.split("REPARTITION_BY_NUM")[0].splitlines()
     assert not any("hashpartitioning(series_id" in line and "fold_id" in line for line in of_rows[of_rows.index(next(x for x in of_rows if "Join" in x)) :][:4])
+
+
+def _dated(spark):
+    """Series of several lengths, one without a name, rows out of order, one feature with gaps."""
+    rows = [(s, dt.date(2020, 1, 1) + dt.timedelta(days=d), float((d * 7 + (s or 5)) % 11) / 3, None if d % 9 == 4 else 0.1 * d, 0.1) for s, n in ((1, 70), (2, 45), (None, 60)) for d in range(n)]
+    return spark.createDataFrame(rows[::-1], "series_id long, bar_date date, a double, b double, c double")
+
+
+_SPEC = FoldSpec(min_gap=4, min_train=10, min_val=4, min_test=4)
+
+
+@pytest.mark.parametrize("tag, by", [(lambda x: fold_membership(x, _SPEC), ["fold_id"]), (split_by_time, [])])
+def test_stored_rows_are_scaled_as_by_windows(spark, tag, by):
+    """To the last bit, and with the series that has no name."""
+    frame = with_positions(_dated(spark))
+    place = lambda r: (r["series_id"] or 0, r["bar_date"], r["fold_id"] if by else 0)
+    want = scale_rows(tag(frame), ["a", "b", "c"], "series", by=by)
+    got = scale_stored_rows(frame, ["a", "b", "c"], tag, by)
+    assert got.columns == want.columns
+    got, want = (sorted(x.collect(), key=place) for x in (got, want))
+    assert got == want and len({r["series_id"] for r in got}) == 3
+
+
+def test_rows_of_folds_go_through_no_window(spark):
+    plan = E.rolling_scaled(_dated(spark), E.EvalSpec(features=["a", "b"], folds=_SPEC))._jdf.queryExecution().executedPlan().toString()
+    assert not any("Window" in line and "fold_id" in line for line in plan.splitlines())
+
+
+def test_a_window_takes_a_deviation_once(spark):
+    plan = scale_rows(split_by_time(_dated(spark)), ["a"], "series", by=[])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("stddev_pop(") == 1
