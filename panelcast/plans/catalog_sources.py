@@ -13,7 +13,7 @@ from panelcast.operators import splits as SP
 from panelcast.operators.scaling import apply_scaler, fit_scaler
 from panelcast.plans import oracle as O
 from panelcast.plans.prepare import prepare
-from panelcast.plans.registry import panel, register
+from panelcast.plans.registry import panel, panel_buckets, register
 from panelcast.plans.catalog_eval import _SCALED, FEATS, stored_frame
 from panelcast.schema import DATE, PRICE_COLUMNS, SERIES
 from panelcast.session import ensure_checkpoint_dir, materialize
@@ -82,21 +82,26 @@ def _fresh(spark, name: str) -> str:
     return os.path.join(ensure_checkpoint_dir(spark), "tables", f"{name}-{uuid.uuid4().hex}")
 
 
+def _stored_panel(spark, sf_dir):
+    """Bars in buckets by series, which the windows of features keep."""
+    return materialize(panel(spark, sf_dir), bucket_by=[SERIES], buckets=panel_buckets(spark, sf_dir))
+
+
 @register(
     "snapshot_or_rebuild",
     O.with_(O.bars_cte("main"), O.features_cte(ddof=1), O.training_cte()) + "SELECT * FROM train_frame",
 )
 def q_snapshot_or_rebuild(spark, sf_dir):
     """Training frame behind the digest gate, from the snapshot that earlier runs left (recomputed where the source differs)."""
-    bars = materialize(panel(spark, sf_dir))
+    bars = _stored_panel(spark, sf_dir)
     snapshot = Snapshot(spark, _scratch(spark, "snapshot", sf_dir), feat.features_dataframe)
-    return prepare(bars, snapshot, expected=D.digest_tree(D.day_digests(bars)))
+    return prepare(bars, snapshot, expected=materialize(D.digest_tree(D.day_digests(bars))))
 
 
 @register("snapshot_append", O.with_(O.bars_cte("main"), O.features_cte(ddof=1)) + "SELECT * FROM feat")
 def q_snapshot_append(spark, sf_dir):
     """A snapshot made without the last 60 days, of bars whose 200th last day was wrong, brought up to date: equal to a full build."""
-    bars = materialize(panel(spark, sf_dir))
+    bars = _stored_panel(spark, sf_dir)
     newest = bars.agg(F.max(DATE)).head()[0]
     early = bars.where(F.col(DATE) < F.date_sub(F.lit(newest), 60))
     early = early.withColumn("close", F.when(F.col(DATE) == F.date_sub(F.lit(newest), 200), F.col("close") + 1).otherwise(F.col("close")))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 
 from panelcast.operators.features import finalize
 from panelcast.operators.splits import long_enough
+from panelcast.session import materialize
 from panelcast.sources import digest as D
 from panelcast.sources.snapshot import Snapshot
 
@@ -18,6 +19,7 @@ def prepare(bars: DataFrame, snapshot: Snapshot, expected: DataFrame | None = No
     Features come from the snapshot, brought up to date where the bars differ from
     those it was made of.
     """
+    days = materialize(D.day_digests(bars))  # read by the gate and by the snapshot
     if expected is not None:
-        D.check_digests(D.digest_tree(D.day_digests(bars)), expected)
-    return long_enough(finalize(snapshot.refresh(bars)))
+        D.check_digests(D.digest_tree(days), expected)
+    return long_enough(finalize(snapshot.refresh(bars, days)))

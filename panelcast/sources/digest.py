@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelcast.schema import DATE
+from panelcast.session import materialize
 from panelcast.sources.store import row_digest
 
 #: Levels from the root, and the text that names a node.
@@ -47,7 +48,8 @@ def differences(actual: DataFrame, expected: DataFrame) -> DataFrame:
 
 def check_digests(actual: DataFrame, expected: DataFrame) -> None:
     """Raise, naming days, if two trees differ."""
-    wrong = differences(actual, expected)
+    # Read up to three times: stored, so that the rows are digested once.
+    wrong = materialize(differences(actual, expected))
     days = wrong.where(F.col("level") == "day")
     n = days.count()
     if n or not wrong.isEmpty():

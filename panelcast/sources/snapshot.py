@@ -25,6 +25,7 @@ from panelcast.operators.features import LOOK_BACK
 from panelcast.schema import DATE, SERIES
 from panelcast.session import materialize
 from panelcast.sources import digest as D
+from panelcast.sources.bars import ROWS_PER_TASK
 from panelcast.sources.store import folders, has_success
 
 _MONTH = "month"
@@ -73,10 +74,10 @@ class Snapshot:
         own = D.digest_tree(days)
         return D.differences(own, own.limit(0) if old is None else D.digest_tree(old)).where(F.col("level") == "day")
 
-    def refresh(self, bars: DataFrame) -> DataFrame:
-        """The feature frame of ``bars``, recomputed only where the source differs."""
+    def refresh(self, bars: DataFrame, days: DataFrame | None = None) -> DataFrame:
+        """The feature frame of ``bars``, recomputed only where the source differs; ``days`` are their stored day digests, if known."""
         version = self.version()
-        days = materialize(D.day_digests(bars))
+        days = materialize(D.day_digests(bars)) if days is None else days
         first = self.changed(days).agg(F.min(F.to_date("node"))).head()[0]
         if first is None and version:
             return self.read(version)
@@ -103,7 +104,13 @@ class Snapshot:
     def _publish(self, version: int, rows: DataFrame, kept: dict[str, int], days: DataFrame) -> DataFrame:
         root = f"{self.root}/v{version}"
         # An incomplete version of that number is an attempt that broke off.
-        rows.withColumn(_MONTH, F.date_format(DATE, "yyyy-MM")).write.mode("overwrite").partitionBy(_MONTH).parquet(f"{root}/data")
+        of_month = F.date_format(DATE, "yyyy-MM")
+        size = days.agg(F.sum("rows").alias("rows"), F.count_distinct(of_month).alias("months")).head()
+        # A month goes to as many tasks as its rows need: else every task would write a file for every month.
+        tasks = max(self.spark.sparkContext.defaultParallelism, -(-(size["rows"] or 0) // ROWS_PER_TASK))
+        share = F.pmod(F.xxhash64(SERIES), F.lit(-(-tasks // max(1, size["months"]))))
+        dealt = rows.withColumn(_MONTH, of_month).repartition(tasks, _MONTH, share)
+        dealt.write.mode("overwrite").partitionBy(_MONTH).parquet(f"{root}/data")
         written = [n.partition("=")[2] for n in folders(self.spark, f"{root}/data") if n.startswith(f"{_MONTH}=")]
         months = kept | {m: version for m in written}
         days.write.mode("overwrite").parquet(f"{root}/days")

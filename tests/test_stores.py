@@ -145,3 +145,20 @@ def test_ordered_sink_reads_back_in_order(spark, tmp_path, partitions):
     got = ST.read_ordered(spark, str(tmp_path / "o")).orderBy("position").collect()
     want = df.orderBy(*order).collect()
     assert [r.position for r in got] == list(range(500)) and [r.id for r in got] == [r.id for r in want]
+
+
+def test_a_month_is_written_by_few_tasks(spark, tmp_path):
+    """However many tasks hold rows of every month, and the rows are the same."""
+    bars = bars_of(spark)
+    made = Snapshot(spark, str(tmp_path / "snap"), lambda b: feat.features_dataframe(b).repartition(6))
+    assert rows_of(made.refresh(bars)) == rows_of(feat.features_dataframe(bars))
+    written = [f for f in (tmp_path / "snap" / "v1" / "data").glob("month=*/*.parquet")]
+    assert len(written) == len({f.parent for f in written}) > 1
+
+
+def test_days_are_digested_once(spark, snapshot, monkeypatch):
+    bars = bars_of(spark)
+    tree = D.digest_tree(D.day_digests(bars))
+    asked, own = [], D.day_digests
+    monkeypatch.setattr(D, "day_digests", lambda *a, **k: asked.append(a) or own(*a, **k))
+    assert prepare(bars, snapshot, tree).count() > 0 and len(asked) == 1
