@@ -194,9 +194,11 @@ def _word_encoder(path: str) -> tuple[Pool, int, tuple[str, ...]]:
     if len(own) != 1:
         raise ValueError("the separator must be a single token")
 
+    apart = re.compile("|".join(map(re.escape, (mark, *special)))).search
+
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         out: list = [None] * len(words)
-        alone = [mark in w or _holds(w, special) for w in words]
+        alone = [apart(w) is not None for w in words]
         odd = [k for k, a in enumerate(alone) if a]
         even = [k for k, a in enumerate(alone) if not a]
         for k in odd:
@@ -221,10 +223,6 @@ def _word_encoder(path: str) -> tuple[Pool, int, tuple[str, ...]]:
 _TAIL = ",.;:!?"
 
 
-def _holds(word: str, special: tuple[str, ...]) -> bool:
-    return any(s in word for s in special)
-
-
 def _halves(word: str) -> tuple[str, str]:
     """A word as stem and closing marks, if the tokenizer splits there; ASCII stems in lower case, as it makes them."""
     stem = word.rstrip(_TAIL)
@@ -235,19 +233,50 @@ def _halves(word: str) -> tuple[str, str]:
     return (stem.lower() if stem.isascii() else stem), word[len(stem) :]
 
 
+_ALNUM = np.array([chr(b).isalnum() and b < 128 for b in range(256)])
+
+
+def _units(words: pa.Array, whole: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Distinct halves of all words, and the places of each word's two; words marked ``whole`` stay as they are.
+
+    The same as ``_halves`` of each word, for ASCII words at once.
+    """
+    ascii_ = pc.string_is_ascii(words).to_numpy(zero_copy_only=False)
+    plain, odd, whole = np.flatnonzero(ascii_ & ~whole), np.flatnonzero(~ascii_ & ~whole), np.flatnonzero(whole)
+    own = words.take(pa.array(plain))
+    stems = pc.ascii_rtrim(own, characters=_TAIL)
+    data, offsets = C.text_buffer(stems)
+    split = np.zeros(len(plain), bool)
+    some = offsets[1:] > offsets[:-1]
+    split[some] = _ALNUM[data[offsets[1:][some] - 1]]
+    marked = np.flatnonzero(split & (np.diff(offsets) < pc.binary_length(own).to_numpy()))
+    tails = pc.replace_substring_regex(own.take(pa.array(marked)), f"(?s)^.*[^{_TAIL}]", "")
+    pairs = list(map(_halves, words.take(pa.array(odd)).to_numpy(zero_copy_only=False)))
+    listed = (
+        pc.ascii_lower(pc.if_else(pa.array(split), stems, own)),
+        *(pa.array([pair[k] for pair in pairs], pa.large_string()) for k in (0, 1)),
+        words.take(pa.array(whole)),
+        tails,
+        pa.array([""], pa.large_string()),
+    )
+    coded = pa.concat_arrays(listed).dictionary_encode()
+    place = np.split(coded.indices.to_numpy(), np.cumsum([len(x) for x in listed])[:-1])
+    at = np.full((len(words), 2), place[5][0], np.int64)
+    at[plain, 0], at[odd, 0], at[odd, 1], at[whole, 0] = place[:4]
+    at[plain[marked], 1] = place[4]
+    return coded.dictionary.to_numpy(zero_copy_only=False).tolist(), at
+
+
 def encode_words(text: pa.Array, pool: Pool, special: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts in a row and each text's offsets into them."""
     words = pc.ascii_split_whitespace(text.cast(pa.large_string()).fill_null(""))
     rows = words.offsets.to_numpy() - words.offsets[0].as_py()
     coded = words.flatten().dictionary_encode()
-    halves = list(map(_halves, coded.dictionary.to_pylist()))
+    whole = np.zeros(len(coded.dictionary), bool)
     if special:  # what holds a special string, or would in lower case, stays as it is
-        pattern = "|".join(map(re.escape, special))
-        for k in np.flatnonzero(pc.match_substring_regex(coded.dictionary, pattern, ignore_case=True).to_numpy(zero_copy_only=False)):
-            halves[k] = (coded.dictionary[int(k)].as_py(), "")
-    units: dict[str, int] = {}
-    at = np.array([[units.setdefault(h, len(units)) for h in pair] for pair in halves], np.int64).reshape(-1, 2)
-    places = pool.find(list(units))[at] if units else at
+        whole = pc.match_substring_regex(coded.dictionary, "|".join(map(re.escape, special)), ignore_case=True).to_numpy(zero_copy_only=False)
+    units, at = _units(coded.dictionary, whole)
+    places = pool.find(units)[at]
     return pool.gather(places[coded.indices.to_numpy()].ravel(), rows * 2)
 
 

@@ -72,6 +72,17 @@ def test_words_and_halves_equal_whole_texts():
         assert ids[ends[k] : ends[k + 1]].tolist() == t.encode(x or "", add_special_tokens=False).ids, x
 
 
+def test_units_equal_halves_word_by_word():
+    import pyarrow as pa
+
+    words = ["Ab,", "it's", "...", "a.b!?", "x_.", "É.", "ÉCOLE;", "9:", "\0.", "a\x1c,", ";a", "Ab", "<|endoftext|>.", "ß", "K!", "-,"]
+    whole = np.array(["<|" in w for w in words])
+    units, at = T._units(pa.array(words, pa.large_string()), whole)
+    assert [tuple(units[k] for k in pair) for pair in at] == [(w, "") if x else T._halves(w) for w, x in zip(words, whole)]
+    assert len(set(units)) == len(units)
+    assert T._units(pa.array([], pa.large_string()), whole[:0])[1].shape == (0, 2)
+
+
 def test_empty_table(spark, tmp_path):
     files = T.write_corpus(spark.createDataFrame([], SCHEMA), f"{tmp_path}/none", PATH)
     assert files == []
