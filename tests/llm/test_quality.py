@@ -130,3 +130,44 @@ def test_costs_hold_rows_of_seen_contexts_only():
     grams = np.concatenate([parts[Q.ORDER][0][0][:500], parts[Q.ORDER][1][0][:500] * Q.SYMBOLS + 7, rng.integers(0, Q.SYMBOLS**Q.ORDER, 1000)])
     assert np.allclose(costs.of(grams.astype(np.int32)), [-math.log2(p(Q.ORDER, g)) for g in grams.tolist()], rtol=1e-5)
     assert costs.cost.nbytes < 4 << 20  # of 64 MB
+
+
+def test_whole_model_equals_a_plain_one(spark, monkeypatch):
+    """With every character as a symbol, rare ones of any script have the context of three characters."""
+    rng = random.Random(4)
+    words = ["the", "of", "thé", "ñu", "数据", "处理系统", "😀", "да", "x" * 30, "".join(map(chr, range(33, 110)))]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(30))) for _ in range(60)] + [None, "", "\u0001", "".join(map(chr, range(300, 420)))]
+    rows = [(k, t, "en", "x", 1.0) for k, t in enumerate(texts)] + [(3, texts[3], "en", "x", 1.0), (None, "the 数据", "en", None, None)]
+    good = {k for k in range(50) if k % 3}
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = Q.classify(docs, spark.createDataFrame([(k, 1) for k in good], "doc_id long, quality int"), least=5, whole=True)
+    fold = {r.doc_id: r.f for r in docs.select("doc_id", Q._fold(F.col("doc_id")).alias("f")).collect()}
+    with monkeypatch.context() as m:
+        m.setattr(Q, "OTHER", 0x110000)
+        m.setattr(Q, "SYMBOLS", 1 + len({c for r in rows for c in r[1] or ""}))
+        by_fold = [brute([r[1] for r in rows if r[0] in good and fold[r[0]] == f], [r[1] for r in rows]) for f in (0, 1)]
+    want = [by_fold[1 - fold[r[0]]][k] for k, r in enumerate(rows)]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or 0)
+    have = sorted(((r.doc_id, r.perplexity) for r in got.collect()), key=key)
+    for (i, a), (j, b) in zip(have, sorted(((r[0], None if w is None else 2**w) for r, w in zip(rows, want)), key=key), strict=True):
+        assert i == j and (a is None) == (b is None) and (a is None or a == pytest.approx(b, rel=1e-4))
+
+
+def test_registered_model_tells_junk_in_any_script(spark, tmp_path):
+    """Characters outside the 62 most frequent of the corpus: good text and the same characters shuffled."""
+    from panelcast.llm.registry import QUERIES
+
+    rng = random.Random(5)
+    signs = [chr(0x4E00 + 7 * k) for k in range(120)]
+    words = ["".join(rng.sample(signs, 4)) for _ in range(60)]
+    latin = "".join(map(chr, range(33, 127)))
+    chinese = lambda: "".join(rng.choice(words) for _ in range(20))
+    good = [(k, chinese(), "zh") for k in range(300)]
+    junk = [(1000 + k, "".join(rng.sample(t := chinese(), len(t))), "zh") for k in range(50)]
+    other = [(2000 + k, "".join(rng.choices(latin, k=400)), "en") for k in range(300)]
+    spark.createDataFrame(good + junk + other, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, 1) for k in range(250)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = {r.doc_id for r in QUERIES["op6_quality_classifier"][0](spark, str(tmp_path)).filter("keep").collect()}
+    assert sum(k < 300 for k in kept) > 290 and not any(1000 <= k < 1050 for k in kept)
+    docs, labels = (spark.read.parquet(f"{tmp_path}/{t}.parquet") for t in ("documents", "labels"))
+    assert sorted(r.doc_id for r in Q.keep_good(docs, labels, whole=True).collect()) == sorted(kept)
